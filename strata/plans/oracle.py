@@ -326,7 +326,8 @@ LEFT JOIN dim_product p ON o.product_name = p.product_name
 LEFT JOIN dim_customer c ON o.customer_name = c.customer_name"""
 
 
-def with_ctes(body: str) -> str:
-    """Full statement: every shared CTE, then ``body`` (DuckDB skips unreferenced ones)."""
-    ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in CTES.items())
+def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
+    """Full statement: every shared CTE (+ ``extra``), then ``body``."""
+    allc = {**CTES, **(extra or {})}
+    ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in allc.items())
     return f"WITH {ctes}\n{body}"
