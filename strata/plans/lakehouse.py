@@ -63,8 +63,15 @@ class Lakehouse:
         return silver.bronze_sales(adapter.sales_wide(self.tables))
 
     def bronze_orders(self) -> DataFrame:
+        """Parsed order events, landed as a table (what the stream's sink holds).
+
+        Landing the parsed rows before Silver also keeps the JSON parse to one
+        evaluation per event: filters on payload fields would otherwise each
+        re-run ``from_json``.
+        """
         from strata.streaming.orders import parse_order_events
-        return parse_order_events(adapter.order_event_lines(self.tables))
+        return self._materialise("bronze_orders",
+                                 lambda: parse_order_events(adapter.order_event_lines(self.tables)))
 
     def bronze_orders_legacy(self) -> DataFrame:
         return adapter.legacy_order_events(self.tables)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.keys import bounded_broadcast
 from strata.functions.numeric import round_half_up
-from strata.sources.tables import Tables
+from strata.sources.tables import Tables, spread_small_scan
 
 # nation x region is 25 rows in the schema; anything far above means a different dataset
 _GEO_MAX_ROWS = 10_000
@@ -71,7 +71,9 @@ def enriched_lines(t: Tables, line_cols: list[str]) -> DataFrame:
         cust, F.col("o_custkey") == F.col("c_custkey"))
     supp = t.supplier.select("s_suppkey", "s_name", "s_nationkey").join(_geo(t, "s"), "s_nationkey")
     part = t.part.select("p_partkey", "p_name", "p_type", "p_brand", "p_size", "p_retailprice")
-    li = t.lineitem.select(*sorted(set(line_cols) | {"l_orderkey", "l_partkey", "l_suppkey"}))
+    li = spread_small_scan(
+        t.lineitem.select(*sorted(set(line_cols) | {"l_orderkey", "l_partkey", "l_suppkey"})),
+        ["l_orderkey", "l_partkey", "l_suppkey"])
     return (
         li.join(ords, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
@@ -112,15 +114,19 @@ def _sales_projection(lines: DataFrame, sales: F.Column) -> DataFrame:
 
 
 def sales_wide(t: Tables, with_corrections: bool = True) -> DataFrame:
-    """Wide sales rows with the CSV's header names (Bronze input)."""
+    """Wide sales rows with the CSV's header names (Bronze input).
+
+    Returned lines are re-sent once more with the net (discounted) amount cut to
+    cents.  The extra copy is generated in the same pass (explode of a 1- or
+    2-element array), so the join tree is evaluated once, not once per batch.
+    """
     lines = enriched_lines(t, ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag"])
-    base = _sales_projection(lines, F.col("l_extendedprice"))
     if not with_corrections:
-        return base
-    # returned lines are re-sent with the net (discounted) amount, cut to cents
+        return _sales_projection(lines, F.col("l_extendedprice"))
+    copies = F.when(F.col("l_returnflag") == "R", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    lines = lines.withColumn("_copy", F.explode(copies))
     net = F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100) / 100
-    corrections = _sales_projection(lines.where(F.col("l_returnflag") == "R"), net)
-    return base.unionByName(corrections)
+    return _sales_projection(lines, F.when(F.col("_copy") == 1, net).otherwise(F.col("l_extendedprice")))
 
 
 def _event_struct() -> F.Column:

@@ -18,8 +18,15 @@ from strata.schemas import ORDER_EVENT_SCHEMA
 
 
 def parse_order_events(raw: DataFrame, schema: StructType = ORDER_EVENT_SCHEMA) -> DataFrame:
-    """``value`` (binary or text JSON) -> typed columns; malformed payloads give all-NULL rows."""
-    return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("v")).select("v.*")
+    """``value`` (binary or text JSON) -> typed columns; malformed payloads give all-NULL rows.
+
+    ``inline`` of a one-element array expands the parsed struct through a
+    generator, so the payload is parsed once per event even when later filters
+    reference several fields (a plain ``v.*`` lets the optimizer re-parse per field).
+    """
+    parsed = F.from_json(F.col("value").cast("string"), schema)
+    null_row = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return raw.select(F.inline(F.array(F.coalesce(parsed, null_row))))
 
 
 def read_kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str,
