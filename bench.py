@@ -42,7 +42,9 @@ def main() -> None:
     from strata.plans.registry import QUERIES
 
     n = int(cpus) if cpus.isdigit() else 8
-    spark = local_session(cpus, app="strata-bench", shuffle_partitions=max(8, 2 * n))
+    # optional: BENCH_EVENT_LOG=<folder> records stage/task times for offline reading
+    spark = local_session(cpus, app="strata-bench", shuffle_partitions=max(8, 2 * n),
+                          event_log_dir=os.environ.get("BENCH_EVENT_LOG"))
     times: dict[str, float] = {}
 
     def timed(name, fn):

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.keys import bounded_broadcast
 from strata.functions.numeric import round_half_up
-from strata.sources.tables import Tables, spread_small_scan
+from strata.sources.tables import Tables
 
 # nation x region is 25 rows in the schema; anything far above means a different dataset
 _GEO_MAX_ROWS = 10_000
@@ -71,9 +71,11 @@ def enriched_lines(t: Tables, line_cols: list[str]) -> DataFrame:
         cust, F.col("o_custkey") == F.col("c_custkey"))
     supp = t.supplier.select("s_suppkey", "s_name", "s_nationkey").join(_geo(t, "s"), "s_nationkey")
     part = t.part.select("p_partkey", "p_name", "p_type", "p_brand", "p_size", "p_retailprice")
-    li = spread_small_scan(
-        t.lineitem.select(*sorted(set(line_cols) | {"l_orderkey", "l_partkey", "l_suppkey"})),
-        ["l_orderkey", "l_partkey", "l_suppkey"])
+    # Lines are the fact side: never let a size estimate broadcast them and probe
+    # with a one-split dimension scan (the whole per-line pipeline would run in
+    # one task).  The merge hint keeps lineitem x orders a shuffle join on the
+    # order key, which AQE can split when one order key is hot.
+    li = t.lineitem.select(*sorted(set(line_cols) | {"l_orderkey", "l_partkey", "l_suppkey"})).hint("merge")
     return (
         li.join(ords, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))

@@ -30,20 +30,6 @@ class Tables:
         raise AttributeError(name)
 
 
-def spread_small_scan(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Hash-redistribute a scan that arrives in fewer splits than the session's parallelism.
-
-    Large inputs come in many file splits and are returned unchanged (no extra
-    shuffle); a table stored as one big row group would otherwise run every
-    downstream per-row expression in a single task.  Hashing on several keys
-    keeps one hot key value from landing whole in one partition.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys)
-
-
 def read_csv(spark: SparkSession, path: str, infer_schema: bool = True,
              schema: StructType | None = None) -> DataFrame:
     """CSV with header, UTF-8.  ``schema`` skips inference (one pass instead of two)."""
