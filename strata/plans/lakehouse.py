@@ -58,9 +58,17 @@ class Lakehouse:
                 self._built[name] = self.path(name)
         return self.spark.read.parquet(self._built[name])
 
-    # ------------------------------------------------------------ bronze (lazy)
+    # ------------------------------------------------------------ landing + bronze
+    def landing_lines(self) -> DataFrame:
+        """The joined line items every raw feed is cut from, written once.
+
+        Without it each feed (sales, order events, legacy events, shipments)
+        would re-run the four lineitem-sized shuffle joins.
+        """
+        return self._materialise("landing_lines", lambda: adapter.landing_lines(self.tables))
+
     def bronze_sales(self) -> DataFrame:
-        return silver.bronze_sales(adapter.sales_wide(self.tables))
+        return silver.bronze_sales(adapter.sales_wide(self.landing_lines()))
 
     def bronze_orders(self) -> DataFrame:
         """Parsed order events, landed as a table (what the stream's sink holds).
@@ -71,13 +79,13 @@ class Lakehouse:
         """
         from strata.streaming.orders import parse_order_events
         return self._materialise("bronze_orders",
-                                 lambda: parse_order_events(adapter.order_event_lines(self.tables)))
+                                 lambda: parse_order_events(adapter.order_event_lines(self.landing_lines())))
 
     def bronze_orders_legacy(self) -> DataFrame:
-        return adapter.legacy_order_events(self.tables)
+        return adapter.legacy_order_events(self.landing_lines())
 
     def bronze_shipments(self) -> DataFrame:
-        return silver.bronze_shipments(adapter.shipments_raw(self.tables))
+        return silver.bronze_shipments(adapter.shipments_raw(self.landing_lines()))
 
     # ------------------------------------------------------------ silver
     def silver_sales(self) -> DataFrame:

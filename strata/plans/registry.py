@@ -934,7 +934,7 @@ def fn_json_parse(spark, sf):
 
 @q("parse_order_events", "SELECT * FROM bronze_orders")
 def parse_order_events(spark, sf):
-    return stream.parse_order_events(adapter.order_event_lines(Tables(spark, sf)))
+    return stream.parse_order_events(adapter.order_event_lines(lh(spark, sf).landing_lines()))
 
 
 @q("stream_orders_bronze", "SELECT * FROM bronze_orders")
@@ -942,7 +942,7 @@ def stream_orders_bronze(spark, sf):
     """Land the event payloads as text files, drain them with an availableNow stream into a
     checkpointed parquet sink, and read the sink back."""
     base = scratch_path(spark, "orders-stream")
-    adapter.order_event_lines(Tables(spark, sf)).write.mode("overwrite").text(f"{base}/landing")
+    adapter.order_event_lines(lh(spark, sf).landing_lines()).write.mode("overwrite").text(f"{base}/landing")
     stream.run_orders_to_bronze(spark, f"{base}/landing", f"{base}/bronze", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/bronze")
 
@@ -959,7 +959,7 @@ def _csv_roundtrip(df: DataFrame, path: str) -> None:
     f'{c} AS "{h}"' for c, h in zip(S.SALES_COLUMNS, adapter.SALES_HEADERS)) + " FROM bronze_sales")
 def src_csv_inferred(spark, sf):
     path = scratch_path(spark, "sales-csv")
-    _csv_roundtrip(adapter.sales_wide(Tables(spark, sf)), path)
+    _csv_roundtrip(adapter.sales_wide(lh(spark, sf).landing_lines()), path)
     return read_csv(spark, path, infer_schema=True)
 
 
@@ -967,7 +967,7 @@ def src_csv_inferred(spark, sf):
    + " FROM bronze_shipments")
 def src_csv_strings(spark, sf):
     path = scratch_path(spark, "shipments-csv")
-    _csv_roundtrip(adapter.shipments_raw(Tables(spark, sf)), path)
+    _csv_roundtrip(adapter.shipments_raw(lh(spark, sf).landing_lines()), path)
     return T.normalize_columns(read_csv(spark, path, infer_schema=False), strict=True)
 
 

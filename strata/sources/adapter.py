@@ -12,9 +12,10 @@
 * ``shipments_raw``   - the all-string shipments CSV with text sentinels in the
                         date columns and non-numeric weight / freight cells.
 
-All of it is one join tree per feed (lineitem x orders x customer x part x
+All feeds derive from one join tree (lineitem x orders x customer x part x
 supplier, nation/region broadcast after a size check), so the work grows with
-the tables.  Dirty spacing and casing are injected by expression so the Silver
+the tables; ``landing_lines`` is that join, which the Lakehouse lands once and
+hands to every feed (each feed can also join the raw tables itself).  Dirty spacing and casing are injected by expression so the Silver
 cleaning has something to clean.
 """
 
@@ -83,6 +84,21 @@ def enriched_lines(t: Tables, line_cols: list[str]) -> DataFrame:
     )
 
 
+# every lineitem column any feed reads (the shared landing join carries all of them)
+FEED_LINE_COLUMNS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                     "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def landing_lines(t: Tables) -> DataFrame:
+    """The one join tree all feeds derive from; land it once and pass it to each feed."""
+    return enriched_lines(t, FEED_LINE_COLUMNS)
+
+
+def _lines(src: Tables | DataFrame, cols: list[str]) -> DataFrame:
+    """Feeds accept the landed join (a DataFrame) or the raw tables (joined on the fly)."""
+    return src if isinstance(src, DataFrame) else enriched_lines(src, cols)
+
+
 def _unit_price() -> F.Column:
     return round_half_up(F.col("l_extendedprice") / F.col("l_quantity"), 2)
 
@@ -115,14 +131,14 @@ def _sales_projection(lines: DataFrame, sales: F.Column) -> DataFrame:
     )
 
 
-def sales_wide(t: Tables, with_corrections: bool = True) -> DataFrame:
+def sales_wide(t: Tables | DataFrame, with_corrections: bool = True) -> DataFrame:
     """Wide sales rows with the CSV's header names (Bronze input).
 
     Returned lines are re-sent once more with the net (discounted) amount cut to
     cents.  The extra copy is generated in the same pass (explode of a 1- or
     2-element array), so the join tree is evaluated once, not once per batch.
     """
-    lines = enriched_lines(t, ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag"])
+    lines = _lines(t, ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag"])
     if not with_corrections:
         return _sales_projection(lines, F.col("l_extendedprice"))
     copies = F.when(F.col("l_returnflag") == "R", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -153,20 +169,20 @@ def _event_struct() -> F.Column:
     )
 
 
-def order_event_lines(t: Tables) -> DataFrame:
+def order_event_lines(t: Tables | DataFrame) -> DataFrame:
     """One JSON text line per line item, column ``value`` (the Kafka payload shape)."""
-    lines = enriched_lines(t, ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
-                               "l_returnflag", "l_shipdate"])
+    lines = _lines(t, ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                       "l_returnflag", "l_shipdate"])
     payload = F.to_json(_event_struct())
     corrupt = F.col("l_discount") >= 0.1
     return lines.select(
         F.when(corrupt, F.concat(F.lit("#corrupt "), payload)).otherwise(payload).alias("value"))
 
 
-def legacy_order_events(t: Tables) -> DataFrame:
+def legacy_order_events(t: Tables | DataFrame) -> DataFrame:
     """The same events in the older id-based schema (already typed, event_ts as text)."""
-    lines = enriched_lines(t, ["l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
-                               "l_shipdate"])
+    lines = _lines(t, ["l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
+                       "l_shipdate"])
     e = _event_struct()
     return lines.select(
         e["event_id"].alias("event_id"),
@@ -186,10 +202,9 @@ def _dmy(c: F.Column) -> F.Column:
     return F.date_format(c, "d-MMM-yy")
 
 
-def shipments_raw(t: Tables) -> DataFrame:
+def shipments_raw(t: Tables | DataFrame) -> DataFrame:
     """All-string shipments rows with the CSV's header names (Bronze input)."""
-    lines = enriched_lines(t, ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
-                               "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"])
+    lines = _lines(t, FEED_LINE_COLUMNS)
     s = F.col
     rf, ls = s("l_returnflag"), s("l_linestatus")
     odate = s("o_orderdate").cast("date")
