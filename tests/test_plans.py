@@ -27,3 +27,26 @@ def test_scan_is_pruned_and_filtered(spark, sf_dir):
 def test_geo_lookup_is_broadcast(spark, sf_dir):
     plan = _plan(adapter.sales_wide(Tables(spark, sf_dir)))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def _broadcast_subtrees(plan: str) -> list[str]:
+    """Text of every subtree below a BroadcastExchange node."""
+    lines = plan.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            sub = []
+            for nxt in lines[i + 1:]:
+                if len(nxt) - len(nxt.lstrip(" :+-")) <= depth:
+                    break
+                sub.append(nxt)
+            out.append("\n".join(sub))
+    return out
+
+
+def test_fact_side_is_never_broadcast(spark, sf_dir):
+    # the line items are the probe side; a size estimate must not turn them into a build side
+    plan = _plan(adapter.landing_lines(Tables(spark, sf_dir)))
+    assert "SortMergeJoin" in plan
+    assert not any("lineitem" in sub for sub in _broadcast_subtrees(plan))
