@@ -38,6 +38,17 @@ def dim_time(silver_sales: DataFrame, silver_orders: DataFrame | None = None) ->
     return cal.select("time_sk", "year", "month", "month_num", "quarter", "quarter_name", "year_month")
 
 
+def calendar_attributes(dim_time: DataFrame) -> DataFrame:
+    """The documented calendar columns on top of dim_time: month_number, semester,
+    zero-padded year_month and a boolean Q4 flag (NULL where the month is unknown)."""
+    m = F.col("month_num")
+    return dim_time.select(
+        "time_sk", "year", "month", m.alias("month_number"), "quarter",
+        (F.floor((m - 1) / 6) + 1).cast("int").alias("semester"),
+        F.concat(F.col("year").cast("string"), F.lit("-"), F.lpad(m.cast("string"), 2, "0")).alias("year_month"),
+        (F.col("quarter") == 4).alias("is_q4"))
+
+
 def dim_product(silver_sales: DataFrame) -> DataFrame:
     products = silver_sales.select("product_name", "product_class").distinct()
     keyed = dense_key(products, ["product_name", "product_class"], "product_sk")

@@ -42,6 +42,15 @@ def accepted_values_failures(df: DataFrame, model: str, col: str, values: list[s
         F.lit("accepted_values").alias("test"), F.col("failures").cast("bigint"))
 
 
+def range_failures(df: DataFrame, model: str, bounds: dict[str, tuple[float, float]]) -> DataFrame:
+    """Per column: non-NULL values outside [low, high] (NULL is allowed), one pass."""
+    counts = df.agg(*[F.count_if(F.col(c).isNotNull() & ~F.col(c).between(lo, hi)).alias(c)
+                      for c, (lo, hi) in bounds.items()])
+    return (counts.unpivot([], list(bounds), "column_name", "failures")
+            .select(F.lit(model).alias("model"), "column_name", F.lit("accepted_range").alias("test"),
+                    F.col("failures").cast("bigint").alias("failures")))
+
+
 def relationship_failures(child: DataFrame, child_name: str, fk: str,
                           parent: DataFrame, parent_name: str, pk: str) -> DataFrame:
     """Non-NULL foreign keys without a parent row (left anti join), plus NULL keys."""

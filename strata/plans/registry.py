@@ -539,6 +539,16 @@ def dim_time(spark, sf):
     return lh(spark, sf).dim_time()
 
 
+@q("dim_time_calendar", """
+SELECT time_sk, year, month, month_num AS month_number, quarter,
+       CAST((month_num - 1) // 6 + 1 AS INTEGER) AS semester,
+       CAST(year AS VARCHAR) || '-' || lpad(CAST(month_num AS VARCHAR), 2, '0') AS year_month,
+       quarter = 4 AS is_q4
+FROM dim_time""")
+def dim_time_calendar(spark, sf):
+    return gold.calendar_attributes(lh(spark, sf).dim_time())
+
+
 @q("dim_product", "SELECT * FROM dim_product")
 def dim_product(spark, sf):
     return lh(spark, sf).dim_product()
@@ -788,6 +798,18 @@ def dq_unique(spark, sf):
     return quality.suite([quality.unique_failures(frames[m], m, c) for m, c in UNIQUE])
 
 
+# Valid coordinate ranges (degrees).
+COORDINATE_RANGES = {"latitude": (-90.0, 90.0), "longitude": (-180.0, 180.0)}
+
+
+@q("dq_coordinate_range", " UNION ALL ".join(
+    f"SELECT 'silver_sales' AS model, '{c}' AS column_name, 'accepted_range' AS test, "
+    f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND NOT ({c} BETWEEN {lo} AND {hi})) AS failures "
+    f"FROM silver_sales" for c, (lo, hi) in COORDINATE_RANGES.items()))
+def dq_coordinate_range(spark, sf):
+    return quality.range_failures(lh(spark, sf).silver_sales(), "silver_sales", COORDINATE_RANGES)
+
+
 @q("dq_accepted_values", " UNION ALL ".join(
     f"SELECT '{m}' AS model, '{c}' AS column_name, 'accepted_values' AS test, "
     f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({', '.join(repr(v) for v in vals)})) AS failures "
