@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.numeric import money_avg, money_sum, round_half_up
+from strata.functions.numeric import MONEY, money_avg, money_sum, round_half_up
 
 # Source labels of the executive summary.
 SOURCE_HISTORICAL = "Ventas Históricas"
@@ -24,6 +24,39 @@ def _avg(c: str = "sales") -> F.Column:
     return round_half_up(money_avg(c), 2)
 
 
+def per_key(fact: DataFrame, key: str, money: str = "sales", qty: str | None = "qty") -> DataFrame:
+    """Partial totals per dimension key, computed before the fact meets the dimension.
+
+    Catalyst does not push aggregates below joins, so without this a KPI would
+    shuffle every fact row by key (a hot key landing in one task) whenever the
+    dimension is too large to broadcast.  Grouping by the key first is a
+    partial + final aggregate (map-side combine), and the join then sees one row
+    per key.  Money is carried as an exact DECIMAL sum plus its non-NULL count,
+    so the re-aggregated totals and averages equal the one-step ones exactly.
+    """
+    m = F.col(money).cast(MONEY)
+    parts = [F.count(F.lit(1)).alias("_n"), F.sum(m).alias("_msum"), F.count(m).alias("_mcnt")]
+    if qty:
+        parts.append(F.sum(qty).alias("_qty"))
+    return fact.groupBy(key).agg(*parts)
+
+
+def _n() -> F.Column:
+    return F.sum("_n")
+
+
+def _units() -> F.Column:
+    return F.sum("_qty")
+
+
+def _pre_total() -> F.Column:
+    return round_half_up(F.sum("_msum").cast("double"), 2)
+
+
+def _pre_avg() -> F.Column:
+    return round_half_up(F.sum("_msum").cast("double") / F.sum("_mcnt"), 2)
+
+
 def sales_by_channel(fact: DataFrame) -> DataFrame:
     return (fact.groupBy("channel").agg(
         F.count(F.lit(1)).alias("num_transacciones"),
@@ -43,51 +76,51 @@ def sales_by_country(fact: DataFrame) -> DataFrame:
 
 
 def top_products(fact: DataFrame, dim_product: DataFrame, n: int = 10) -> DataFrame:
-    return (fact.join(dim_product, "product_sk")
+    return (per_key(fact, "product_sk").join(dim_product, "product_sk")
             .groupBy("product_name", "product_class").agg(
-                F.count(F.lit(1)).alias("num_transacciones"),
-                F.sum("qty").alias("unidades_vendidas"),
-                _total().alias("ventas_totales"))
+                _n().alias("num_transacciones"),
+                _units().alias("unidades_vendidas"),
+                _pre_total().alias("ventas_totales"))
             .orderBy(F.desc("ventas_totales"), "product_name", "product_class")
             .limit(n))
 
 
 def sales_by_class(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    return (fact.join(dim_product, "product_sk")
+    return (per_key(fact, "product_sk", qty=None).join(dim_product, "product_sk")
             .groupBy("product_class").agg(
                 F.countDistinct("product_name").alias("num_productos"),
-                F.count(F.lit(1)).alias("num_transacciones"),
-                _total().alias("ventas_totales"),
-                _avg().alias("ticket_medio"))
+                _n().alias("num_transacciones"),
+                _pre_total().alias("ventas_totales"),
+                _pre_avg().alias("ticket_medio"))
             .orderBy(F.desc("ventas_totales"), F.asc_nulls_first("product_class")))
 
 
 def top_reps(fact: DataFrame, dim_rep: DataFrame, n: int = 10) -> DataFrame:
-    return (fact.join(dim_rep, "sales_rep_sk")
+    return (per_key(fact, "sales_rep_sk", qty=None).join(dim_rep, "sales_rep_sk")
             .groupBy("sales_rep_name", "manager", "sales_team").agg(
-                F.count(F.lit(1)).alias("num_transacciones"),
-                _total().alias("ventas_totales"),
-                _avg().alias("ticket_medio"))
+                _n().alias("num_transacciones"),
+                _pre_total().alias("ventas_totales"),
+                _pre_avg().alias("ticket_medio"))
             .orderBy(F.desc("ventas_totales"), "sales_rep_name", "manager", "sales_team")
             .limit(n))
 
 
 def team_performance(fact: DataFrame, dim_rep: DataFrame) -> DataFrame:
     reps = F.countDistinct("sales_rep_name")
-    return (fact.join(dim_rep, "sales_rep_sk")
+    return (per_key(fact, "sales_rep_sk", qty=None).join(dim_rep, "sales_rep_sk")
             .groupBy("sales_team").agg(
                 reps.alias("num_reps"),
-                F.count(F.lit(1)).alias("num_transacciones"),
-                _total().alias("ventas_totales"),
-                round_half_up(money_sum("sales") / reps, 2).alias("ventas_por_rep"))
+                _n().alias("num_transacciones"),
+                _pre_total().alias("ventas_totales"),
+                round_half_up(F.sum("_msum").cast("double") / reps, 2).alias("ventas_por_rep"))
             .orderBy(F.desc("ventas_totales"), F.asc_nulls_first("sales_team")))
 
 
 def quarterly(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
-    return (fact.join(dim_time, "time_sk")
+    return (per_key(fact, "time_sk", qty=None).join(dim_time, "time_sk")
             .groupBy("year", "quarter_name", "quarter").agg(
-                F.count(F.lit(1)).alias("num_transacciones"),
-                _total().alias("ventas_totales"))
+                _n().alias("num_transacciones"),
+                _pre_total().alias("ventas_totales"))
             .orderBy("year", "quarter", "quarter_name")
             .select("year", "quarter_name", "num_transacciones", "ventas_totales"))
 
@@ -95,11 +128,11 @@ def quarterly(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
 def top_customers(fact: DataFrame, dim_customer: DataFrame, n: int = 10) -> DataFrame:
     c = dim_customer.select("customer_sk", "customer_name", F.col("city").alias("c_city"),
                             F.col("country").alias("c_country"), F.col("channel").alias("c_channel"))
-    return (fact.join(c, "customer_sk")
+    return (per_key(fact, "customer_sk", qty=None).join(c, "customer_sk")
             .groupBy(F.col("customer_name"), F.col("c_city").alias("city"),
                      F.col("c_country").alias("country"), F.col("c_channel").alias("channel"))
-            .agg(F.count(F.lit(1)).alias("num_transacciones"),
-                 _total().alias("compras_totales"))
+            .agg(_n().alias("num_transacciones"),
+                 _pre_total().alias("compras_totales"))
             .orderBy(F.desc("compras_totales"), "customer_name", "city", "country", "channel")
             .limit(n))
 
@@ -116,10 +149,11 @@ def orders_summary(fact_orders: DataFrame) -> DataFrame:
 def hist_vs_stream(fact: DataFrame, fact_orders: DataFrame, dim_product: DataFrame,
                    n: int = 15) -> DataFrame:
     p = dim_product.select("product_sk", "product_name")
-    hist = (fact.join(p, "product_sk").groupBy("product_name")
-            .agg(money_sum("sales").alias("ventas_historicas")))
-    stream = (fact_orders.join(p, "product_sk").groupBy(F.col("product_name").alias("s_product_name"))
-              .agg(money_sum("total_amount").alias("s_pedidos")))
+    hist = (per_key(fact, "product_sk", qty=None).join(p, "product_sk").groupBy("product_name")
+            .agg(F.sum("_msum").cast("double").alias("ventas_historicas")))
+    stream = (per_key(fact_orders, "product_sk", money="total_amount", qty=None).join(p, "product_sk")
+              .groupBy(F.col("product_name").alias("s_product_name"))
+              .agg(F.sum("_msum").cast("double").alias("s_pedidos")))
     joined = hist.join(stream, F.col("product_name") == F.col("s_product_name"), "full_outer")
     return (joined.where(F.col("s_pedidos").isNotNull())
             .select(F.coalesce("product_name", "s_product_name").alias("product_name"),
