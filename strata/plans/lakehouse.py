@@ -120,6 +120,20 @@ class Lakehouse:
         return self._materialise("fact_orders", lambda: gold.fact_orders(
             self.silver_orders(), self.dim_product(), self.dim_customer()))
 
+    def register_views(self, names: list[str] | None = None) -> list[str]:
+        """Expose the Silver/Gold tables as temp views for ``spark.sql`` (builds them if needed).
+
+        Each view reads the written parquet, so SQL text gets the same pruning
+        and pushdown as the DataFrame operators.
+        """
+        from strata.sources.sinks import register_views
+        names = names or list(self.VIEW_TABLES)
+        register_views({n: getattr(self, n)() for n in names})
+        return names
+
+    VIEW_TABLES = ("silver_sales", "silver_orders", "silver_shipments", "dim_time", "dim_product",
+                   "dim_customer", "dim_sales_rep", "fact_sales", "fact_orders")
+
     def build_gold(self) -> None:
         for step in (self.dim_time, self.dim_product, self.dim_customer, self.dim_sales_rep,
                      self.fact_sales, self.fact_orders):

@@ -200,6 +200,22 @@ def kpi_top_products(spark, sf):
     return kpis.top_products(h.fact_sales(), h.dim_product())
 
 
+# The SQL entry point: the same text runs on Spark over the Lakehouse's temp views
+# and, as the oracle, on DuckDB over the independently built tables.
+SQL_TOP_PRODUCTS = f"""
+SELECT p.product_name, p.product_class, COUNT(*) AS num_transacciones,
+       CAST(SUM(f.qty) AS BIGINT) AS unidades_vendidas, {r(msum('f.sales'))} AS ventas_totales
+FROM fact_sales f JOIN dim_product p ON f.product_sk = p.product_sk
+GROUP BY p.product_name, p.product_class
+ORDER BY ventas_totales DESC, p.product_name, p.product_class LIMIT 10"""
+
+
+@q("sql_kpi_top_products", SQL_TOP_PRODUCTS)
+def sql_kpi_top_products(spark, sf):
+    lh(spark, sf).register_views(["fact_sales", "dim_product"])
+    return spark.sql(SQL_TOP_PRODUCTS)
+
+
 @q("kpi_sales_by_class", f"""
 SELECT p.product_class, COUNT(DISTINCT p.product_name) AS num_productos, COUNT(*) AS num_transacciones,
        {r(msum('f.sales'))} AS ventas_totales, {r(mavg('f.sales'))} AS ticket_medio
