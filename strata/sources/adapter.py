@@ -67,8 +67,9 @@ def enriched_lines(t: Tables, line_cols: list[str]) -> DataFrame:
     """
     cust = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").join(
         _geo(t, "c"), "c_nationkey")
+    # orders are fact data too: keep them on the probe side of the customer join
     ords = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority",
-                           "o_orderstatus").join(
+                           "o_orderstatus").hint("merge").join(
         cust, F.col("o_custkey") == F.col("c_custkey"))
     supp = t.supplier.select("s_suppkey", "s_name", "s_nationkey").join(_geo(t, "s"), "s_nationkey")
     part = t.part.select("p_partkey", "p_name", "p_type", "p_brand", "p_size", "p_retailprice")
