@@ -379,6 +379,19 @@ def mart_forecast_analysis(spark, sf):
     return _round_model_cols(marts.forecast_analysis(_naive(spark, sf)))
 
 
+# The same marts over the real model outputs (K-Means segments, GBT predictions): what
+# the reference's marts read.  Model-dependent, so they have no SQL oracle; the tests
+# check their invariants.
+@q("mart_cluster_analysis_kmeans")
+def mart_cluster_analysis_kmeans(spark, sf):
+    return marts.cluster_analysis(lh(spark, sf).ml_customer_clusters())
+
+
+@q("mart_forecast_analysis_gbt")
+def mart_forecast_analysis_gbt(spark, sf):
+    return marts.forecast_analysis(lh(spark, sf).ml_demand_forecast())
+
+
 @q("forecast_accuracy_by_country", f"""
 SELECT country, COUNT(*) AS num_predictions, {r('AVG(forecast_accuracy)')} AS avg_accuracy,
        {r('AVG(percentage_error)')} AS mape

@@ -39,3 +39,23 @@ def test_gbt_forecast_rows_and_metrics(spark, sf_dir, duck):
 def test_feature_summary_shape(spark, sf_dir):
     rows = QUERIES["feature_summary"](spark, sf_dir).collect()
     assert [r.summary for r in rows] == ["min", "25%", "50%", "75%", "max"]
+
+
+def test_cluster_mart_over_kmeans(spark, sf_dir):
+    rows = QUERIES["mart_cluster_analysis_kmeans"](spark, sf_dir).collect()
+    assert {r.cluster_label for r in rows} == set(ml.SEGMENT_LABELS)
+    n_feat = QUERIES["customer_features"](spark, sf_dir).count()
+    assert sum(r.num_customers for r in rows) == n_feat
+    assert abs(sum(r.pct_of_total_customers for r in rows) - 100.0) < 0.05
+    assert abs(sum(r.pct_of_total_sales for r in rows) - 100.0) < 0.05
+
+
+def test_forecast_mart_over_gbt(spark, sf_dir):
+    from strata.operators import marts
+    mart = QUERIES["mart_forecast_analysis_gbt"](spark, sf_dir)
+    preds = QUERIES["ml_demand_forecast"](spark, sf_dir)
+    assert mart.count() == preds.select("product_name").distinct().count()
+    assert mart.agg(F.sum("num_predictions")).first()[0] == preds.count()
+    labels = {lbl for _, lbl in marts.ACCURACY_BANDS} | {marts.ACCURACY_FALLBACK}
+    assert {r.accuracy_category for r in mart.select("accuracy_category").distinct().collect()} <= labels
+    assert mart.select("model_r2", "model_rmse").distinct().count() == 1
