@@ -50,3 +50,12 @@ def test_fact_side_is_never_broadcast(spark, sf_dir):
     plan = _plan(adapter.landing_lines(Tables(spark, sf_dir)))
     assert "SortMergeJoin" in plan
     assert not any("lineitem" in sub or "orders" in sub for sub in _broadcast_subtrees(plan))
+
+
+def test_kpi_aggregates_facts_before_the_dimension_join(spark, sf_dir):
+    from strata.plans.registry import QUERIES
+    lines = _plan(QUERIES["kpi_top_products"](spark, sf_dir)).splitlines()
+    join = next(i for i, ln in enumerate(lines) if "Join" in ln)
+    pre = [i for i, ln in enumerate(lines) if "HashAggregate(keys=[product_sk" in ln]
+    # children print below their parent: the per-key aggregate sits under the join
+    assert pre and min(pre) > join
