@@ -25,6 +25,7 @@ FORECAST_FEATURES = [
     "year", "month", "quarter", "is_q4", "month_sin", "month_cos",
     "lag_1", "lag_2", "lag_3", "moving_avg_3", "moving_avg_6", "total_quantity", "avg_price",
 ]
+# Forecast series key and test window (months before the last month).
 FORECAST_KEYS = ("product_name", "country")
 TEST_MONTHS_BACK = 6
 

@@ -19,6 +19,7 @@ SALES_TEXT_STYLES = {
     "product_class": "initcap",
 }
 
+# Sales natural key, required columns and Silver column order.
 SALES_NATURAL_KEY = ["distributor", "customer_name", "product_name", "city", "country", "month", "year"]
 SALES_REQUIRED = ["distributor", "customer_name", "product_name", "quantity", "price", "country"]
 SALES_COLUMNS = [
@@ -73,6 +74,7 @@ LEGACY_TEXT_STYLES = {
     "event_id": "none", "order_id": "none", "site_id": "none", "product_id": "none",
     "channel": "lower", "country": "upper", "currency": "upper",
 }
+# Required order-event columns (current and legacy payload).
 ORDER_REQUIRED = ["event_id", "order_id", "event_ts", "customer_name", "product_name", "qty", "unit_price"]
 LEGACY_REQUIRED = ["event_id", "order_id", "event_ts", "qty", "unit_price"]
 
@@ -121,6 +123,7 @@ SHIPMENT_SELECTION = {
     "manufacturing_site": "manufacturing_site", "weight_kilograms": "weight_kilograms",
     "freight_cost_usd": "freight_cost_usd", "line_item_insurance_usd": "line_item_insurance_usd",
 }
+# Typed shipment columns (dates, doubles).
 SHIPMENT_DATES = ["scheduled_delivery_date", "delivered_to_client_date", "delivery_recorded_date"]
 SHIPMENT_DOUBLES = ["line_item_value", "pack_price", "unit_price", "weight_kilograms",
                     "freight_cost_usd", "line_item_insurance_usd"]

@@ -788,7 +788,7 @@ def shipment_top_product_groups(spark, sf):
     return quality.top_by_count(lh(spark, sf).silver_shipments(), "product_group", 5)
 
 
-# the declarative suite: 16 not_null, 3 unique, 2 accepted_values (over the five marts)
+# The declarative suite, 16 not_null, 3 unique, 2 accepted_values (over the five marts).
 NOT_NULL = [
     ("mart_sales_rep_performance", ["sales_rep_sk", "sales_rep_name", "total_sales"]),
     ("mart_geographic_analysis", ["country", "city", "total_sales"]),
