@@ -871,6 +871,13 @@ def dq_relationships(spark, sf):
                           for c, fk, p, pk in RELATIONSHIPS])
 
 
+@q("pipeline_checks")
+def pipeline_checks(spark, sf):
+    """L1: the whole pipeline in step order (models included); returns its check results."""
+    from strata.plans.pipeline import run_pipeline
+    return spark.read.parquet(run_pipeline(spark, sf)["dq_results"])
+
+
 # ====================================================================== catalogs (C1-C5)
 
 @q("catalog_product_price_range", """

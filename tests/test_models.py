@@ -59,3 +59,20 @@ def test_forecast_mart_over_gbt(spark, sf_dir):
     labels = {lbl for _, lbl in marts.ACCURACY_BANDS} | {marts.ACCURACY_FALLBACK}
     assert {r.accuracy_category for r in mart.select("accuracy_category").distinct().collect()} <= labels
     assert mart.select("model_r2", "model_rmse").distinct().count() == 1
+
+
+def test_pipeline_runs_every_step_and_its_checks_pass(spark, sf_dir):
+    from strata.plans.pipeline import run_pipeline
+    paths = run_pipeline(spark, sf_dir)
+    assert {"mart_product_performance", "mart_sales_rep_performance", "mart_geographic_analysis",
+            "mart_cluster_analysis", "mart_forecast_analysis", "dq_results"} == set(paths)
+    checks = spark.read.parquet(paths["dq_results"])
+    # 16 not_null + 3 unique + 2 accepted_values + 6 relationships
+    assert checks.count() == 27
+    assert checks.where("failures <> 0").count() == 0
+    # the mart checks agree with the SQL-checked suite for the marts without a model
+    sql_checked = QUERIES["dq_not_null"](spark, sf_dir).where(
+        "model NOT IN ('mart_cluster_analysis', 'mart_forecast_analysis')")
+    assert sorted(sql_checked.collect()) == sorted(checks.join(
+        sql_checked.select("model", "column_name", "test"), ["model", "column_name", "test"]).select(
+        *sql_checked.columns).collect())
