@@ -113,10 +113,16 @@ def label_customers(predictions: DataFrame, labels: DataFrame) -> DataFrame:
         F.current_timestamp().alias("created_at"))
 
 
-def customer_segments(silver_sales: DataFrame, k: int = 3, seed: int = 42):
-    """Full segmentation job: features -> scale -> K-Means -> labels.  Returns (table, model)."""
+def customer_segments(silver_sales: DataFrame, k: int = 3, seed: int = 42,
+                      cached: list[DataFrame] | None = None):
+    """Full segmentation job: features -> scale -> K-Means -> labels.  Returns (table, model).
+
+    ``cached`` receives the frame cached for the fit; unpersist it once the table is written.
+    """
     feats = customer_features(silver_sales)
     scaled = scale_features(feats).cache()  # fit is iterative; cache the small training frame only
+    if cached is not None:
+        cached.append(scaled)
     preds, model = kmeans_assign(scaled, k, seed)
     out = label_customers(preds, cluster_labels(cluster_stats(preds)))
     return out, model
@@ -240,9 +246,15 @@ def forecast_output(pred: DataFrame, metrics: DataFrame, model_type: str) -> Dat
             .withColumn("created_at", F.current_timestamp()))
 
 
-def demand_forecast(silver_sales: DataFrame, keys: tuple[str, ...] = FORECAST_KEYS) -> DataFrame:
-    """GBT path: monthly series -> features -> temporal split -> fit -> predictions + metrics."""
+def demand_forecast(silver_sales: DataFrame, keys: tuple[str, ...] = FORECAST_KEYS,
+                    cached: list[DataFrame] | None = None) -> DataFrame:
+    """GBT path: monthly series -> features -> temporal split -> fit -> predictions + metrics.
+
+    ``cached`` receives the frame cached for the fit; unpersist it once the result is written.
+    """
     split = split_train_test(forecast_features(monthly_demand(silver_sales, keys), keys)).cache()
+    if cached is not None:
+        cached.append(split)
     model = fit_gbt(split.where(F.col("split") == "train"))
     pred = model.transform(split.where(F.col("split") == "test")).drop("features")
     return forecast_output(pred, regression_metrics(pred), "GBTRegressor")

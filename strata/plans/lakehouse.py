@@ -140,12 +140,21 @@ class Lakehouse:
             step()
 
     # ------------------------------------------------------------ ML layer
+    def _materialise_model(self, name: str, build: Callable[[list[DataFrame]], DataFrame]) -> DataFrame:
+        """Write a model output, then release the training frames the fit cached."""
+        held: list[DataFrame] = []
+        try:
+            return self._materialise(name, lambda: build(held))
+        finally:
+            for df in held:
+                df.unpersist()
+
     def ml_customer_clusters(self) -> DataFrame:
         from strata.operators import ml
-        return self._materialise("ml_customer_clusters",
-                                 lambda: ml.customer_segments(self.silver_sales())[0])
+        return self._materialise_model("ml_customer_clusters",
+                                       lambda held: ml.customer_segments(self.silver_sales(), cached=held)[0])
 
     def ml_demand_forecast(self) -> DataFrame:
         from strata.operators import ml
-        return self._materialise("ml_demand_forecast",
-                                 lambda: ml.demand_forecast(self.silver_sales()))
+        return self._materialise_model("ml_demand_forecast",
+                                       lambda held: ml.demand_forecast(self.silver_sales(), cached=held))

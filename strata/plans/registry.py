@@ -429,8 +429,10 @@ def ml_customer_clusters(spark, sf):
 @q("ml_silhouette")
 def ml_silhouette(spark, sf):
     feats = ml.customer_features(lh(spark, sf).silver_sales())
-    preds, _ = ml.kmeans_assign(ml.scale_features(feats).cache())
+    scaled = ml.scale_features(feats).cache()
+    preds, _ = ml.kmeans_assign(scaled)
     value = ml.silhouette(preds)
+    scaled.unpersist()  # the fit and the score are done; the counts below re-derive cheaply
     counts = preds.groupBy().agg(F.count(F.lit(1)).alias("customers"),
                                  F.countDistinct("cluster_id").alias("clusters"))
     return counts.select(F.lit(value).alias("silhouette"), "customers", "clusters")

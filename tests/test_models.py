@@ -76,3 +76,10 @@ def test_pipeline_runs_every_step_and_its_checks_pass(spark, sf_dir):
     assert sorted(sql_checked.collect()) == sorted(checks.join(
         sql_checked.select("model", "column_name", "test"), ["model", "column_name", "test"]).select(
         *sql_checked.columns).collect())
+
+
+def test_model_jobs_release_their_training_cache(spark, sf_dir):
+    cm = spark._jsparkSession.sharedState().cacheManager()
+    for name in ("ml_customer_clusters", "ml_demand_forecast", "ml_silhouette"):
+        QUERIES[name](spark, sf_dir).collect()
+        assert cm.isEmpty(), name
