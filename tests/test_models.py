@@ -59,6 +59,9 @@ def test_forecast_mart_over_gbt(spark, sf_dir):
     labels = {lbl for _, lbl in marts.ACCURACY_BANDS} | {marts.ACCURACY_FALLBACK}
     assert {r.accuracy_category for r in mart.select("accuracy_category").distinct().collect()} <= labels
     assert mart.select("model_r2", "model_rmse").distinct().count() == 1
+    # the test window is the last 7 months inclusive, so no series has more than 7 predictions
+    per_series = preds.groupBy("product_name", "country").count()
+    assert per_series.agg(F.max("count")).first()[0] <= 7
 
 
 def test_pipeline_runs_every_step_and_its_checks_pass(spark, sf_dir):
