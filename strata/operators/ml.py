@@ -113,6 +113,17 @@ def label_customers(predictions: DataFrame, labels: DataFrame) -> DataFrame:
         F.current_timestamp().alias("created_at"))
 
 
+def one_wave(training: DataFrame) -> DataFrame:
+    """Spread a training frame over exactly one partition per core of the application.
+
+    MLlib fits run hundreds of small jobs (GBT: one per tree level and iteration);
+    with more partitions than cores every job needs several task waves, with
+    fewer some cores idle.  The round-robin exchange moves only the aggregated
+    training rows, and at cluster scale it still gives every core one slice.
+    """
+    return training.repartition(training.sparkSession.sparkContext.defaultParallelism)
+
+
 def customer_segments(silver_sales: DataFrame, k: int = 3, seed: int = 42,
                       cached: list[DataFrame] | None = None):
     """Full segmentation job: features -> scale -> K-Means -> labels.  Returns (table, model).
@@ -120,7 +131,8 @@ def customer_segments(silver_sales: DataFrame, k: int = 3, seed: int = 42,
     ``cached`` receives the frame cached for the fit; unpersist it once the table is written.
     """
     feats = customer_features(silver_sales)
-    scaled = scale_features(feats).cache()  # fit is iterative; cache the small training frame only
+    # fit is iterative: cache the small training frame only, one partition per core
+    scaled = one_wave(scale_features(feats)).cache()
     if cached is not None:
         cached.append(scaled)
     preds, model = kmeans_assign(scaled, k, seed)
@@ -252,7 +264,7 @@ def demand_forecast(silver_sales: DataFrame, keys: tuple[str, ...] = FORECAST_KE
 
     ``cached`` receives the frame cached for the fit; unpersist it once the result is written.
     """
-    split = split_train_test(forecast_features(monthly_demand(silver_sales, keys), keys)).cache()
+    split = one_wave(split_train_test(forecast_features(monthly_demand(silver_sales, keys), keys))).cache()
     if cached is not None:
         cached.append(split)
     model = fit_gbt(split.where(F.col("split") == "train"))

@@ -429,7 +429,7 @@ def ml_customer_clusters(spark, sf):
 @q("ml_silhouette")
 def ml_silhouette(spark, sf):
     feats = ml.customer_features(lh(spark, sf).silver_sales())
-    scaled = ml.scale_features(feats).cache()
+    scaled = ml.one_wave(ml.scale_features(feats)).cache()
     preds, _ = ml.kmeans_assign(scaled)
     value = ml.silhouette(preds)
     scaled.unpersist()  # the fit and the score are done; the counts below re-derive cheaply
