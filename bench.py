@@ -45,12 +45,18 @@ def main() -> None:
     # optional: BENCH_EVENT_LOG=<folder> records stage/task times for offline reading
     spark = local_session(cpus, app="strata-bench", shuffle_partitions=max(8, 2 * n),
                           event_log_dir=os.environ.get("BENCH_EVENT_LOG"))
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
 
     def timed(name, fn):
+        # one failing query is recorded, not fatal: the JSON line is always printed
         t0 = time.perf_counter()
-        fn()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            fn()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # noqa: BLE001
+            times[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
 
     t_all = time.perf_counter()
     lh = Lakehouse.get(spark, sf_dir)
@@ -68,9 +74,11 @@ def main() -> None:
         timed(name, run)
     total = round(time.perf_counter() - t_all, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "pipeline_total_sec", "value": total, "unit": "sec",
-                      "queries": times, "sf": float(m.group(1)) if m else sf_dir,
-                      "cpus": cpus}))
+    out = {"metric": "pipeline_total_sec", "value": total, "unit": "sec",
+           "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
