@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, token_counts
+from strata.llm import bpe, html_extract, quality_rules, token_counts
 from strata.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,13 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.score_rules(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(read_table(spark, sf_dir, "pages"))
