@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, html_extract, quality_rules, token_counts
+from strata.llm import bpe, html_extract, quality_rules, secrets, token_counts, topk_search
 from strata.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,17 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secret_spans", lambda s: s["kind_order"] < 3)
+    count = lambda kind: F.size(F.filter("secret_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+                        secrets.span_text(F.col("secret_spans")).alias("spans"))
+
+
+@query
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(read_table(spark, sf_dir, "embeddings"))
