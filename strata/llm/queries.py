@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, html_extract, mixing, quality_rules, secrets, token_counts, topk_search
+from strata.llm import bpe, html_extract, mixing, ngram_quality, quality_rules, secrets, token_counts, topk_search
 from strata.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "source"))
     return mixed.select("row.doc_id", "source", "block", "in_block", "share", "release", "deadline", "slot")
+
+
+@query
+def op5_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
