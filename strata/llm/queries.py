@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, html_extract, mixing, ngram_quality, quality_rules, secrets, token_counts, topk_search
+from strata.llm import bpe, html_extract, mixing, near_dedup, ngram_quality, quality_rules, secrets, token_counts, topk_search
 from strata.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(read_table(spark, sf_dir, "documents"))
