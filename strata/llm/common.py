@@ -10,6 +10,7 @@ import tempfile
 from typing import Callable, Iterable, Iterator, TypeVar
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +53,13 @@ def by_volume(items: Iterable[T], sizes: Iterable[int], most: int) -> Iterator[l
         yield run
 
 
+def by_rows(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, to bound what is held as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def hash64(data: bytes) -> int:
     """A 64-bit hash that is the same in every process."""
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, html_extract, mixing, near_dedup, ngram_quality, quality_rules, secrets, token_counts, topk_search
+from strata.llm import bpe, html_extract, mixing, near_dedup, ngram_quality, quality_rules, secrets, suffix_dedup, token_counts, topk_search
 from strata.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,9 @@ def op5_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
