@@ -39,6 +39,11 @@ def as_text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def row_mark(text_col: str, *columns: str) -> Column:
+    """A hash that tells rows of one id apart: by the text (null as empty) and the other columns."""
+    return F.xxhash64(as_text(text_col), *(F.col(c).cast("string") for c in columns))
+
+
 def by_volume(items: Iterable[T], sizes: Iterable[int], most: int) -> Iterator[list[T]]:
     """Cut items into runs whose sizes sum to about ``most`` (one larger item makes its own run)."""
     run: list[T] = []

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import as_text, by_volume, hash64, map_arrow, materialise, mix64
+from strata.llm.common import as_text, by_volume, hash64, map_arrow, materialise, mix64, row_mark
 
 SHINGLE = 5
 POSITIONS, ROWS = 96, 4
@@ -139,8 +139,8 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def signature_rows(df: DataFrame, id_col: str, text_col: str, group_words: int = 1 << 19) -> DataFrame:
-    """``id, print, keys`` of every row: the 128-bit print of the word sequence and the band
-    keys; both null for texts without words."""
+    """``id, mark, print, keys`` of every row: a hash of the text, the 128-bit print of the word
+    sequence and the band keys, these two null for texts without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:
@@ -153,12 +153,11 @@ def signature_rows(df: DataFrame, id_col: str, text_col: str, group_words: int =
                 signatures = bag_minhash(np.concatenate([b[0] for b in bags]), np.concatenate([b[1] for b in bags]),
                                          np.repeat(np.arange(len(group)), [len(b[0]) for b in bags]), len(group))
                 keys.update(zip((prints[i] for i in group), band_keys(signatures)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary()), pa.array([keys.get(p) for p in prints], pa.list_(pa.int64()))],
-                                             names=["id", "print", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(prints, pa.binary()), pa.array([keys.get(p) for p in prints], pa.list_(pa.int64()))],
+                                             names=["id", "mark", "print", "keys"])
 
-    rows = df.select(df[id_col].alias("id"), as_text(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return map_arrow(rows, run, f"id {kind}, print binary, keys array<long>")
+    rows = df.select(df[id_col].cast("long").alias("id"), as_text(text_col).alias("text"), row_mark(text_col).alias("mark"))
+    return map_arrow(rows, run, "id long, mark long, print binary, keys array<long>")
 
 
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -256,7 +255,7 @@ def hub_pairs(rows: DataFrame, hubs: DataFrame) -> DataFrame:
 
 
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, rounds: int = 3) -> DataFrame:
-    """``<id_col>, class_id, is_first``, one row for each input row.
+    """``<id_col>, class_id, is_first, mark``, one row for each input row.
 
     class_id is the smallest id of the row's class: exact copies (equal words,
     white space and case aside) and all documents linked, directly or in turn,
@@ -265,14 +264,15 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words.  Texts without words (null, empty, blank) are classes of their own.
     Rows that repeat an id with other texts stand for one document when it is
     the smallest id of each.  A null id has a null class and takes no part.  No
-    rows give no rows.  ``id_col`` must hold whole numbers.
+    rows give no rows.  ``id_col`` must hold whole numbers.  ``mark``
+    (``common.row_mark`` of the text) tells rows of one id apart.
 
     Every pair of different texts at 0.8 shares one of the 24 bands of 4 with a
     probability of 0.999997.  A bucket compares its members with hubs in
     ``rounds`` rounds, not each with each: a link can be missed only between two
     texts neither of which was a hub or like the same hub, in any shared bucket.
     """
-    rows = materialise(signature_rows(df.select(df[id_col].cast("long").alias(id_col), text_col), id_col, text_col), "signatures")
+    rows = materialise(signature_rows(df, id_col, text_col), "signatures")
     worded = rows.where("print is not null and id is not null")
     nodes = materialise(worded.groupBy("print").agg(F.min("id").alias("node"), F.any_value("keys").alias("keys")), "nodes")
     members = nodes.select("node", F.explode("keys").alias("key")).distinct()
@@ -297,6 +297,6 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if labels is not None:
         classes = classes.join(labels, "node", "left").select("print", F.coalesce("label", "node").alias("node"))
     classes = materialise(classes.withColumnRenamed("node", "class"), "classes")
-    joined = rows.select("id", "print").join(classes, "print", "left")
+    joined = rows.select("id", "mark", "print").join(classes, "print", "left")
     class_id = F.when(F.col("id").isNotNull(), F.coalesce("class", "id"))
-    return joined.select(F.col("id").alias(id_col), class_id.alias("class_id"), (class_id == F.col("id")).alias("is_first"))
+    return joined.select(F.col("id").alias(id_col), class_id.alias("class_id"), (class_id == F.col("id")).alias("is_first"), "mark")

@@ -66,12 +66,12 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return ngram_quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("mark")
 
 
 @query
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_classes(read_table(spark, sf_dir, "documents"))
+    return near_dedup.near_classes(read_table(spark, sf_dir, "documents")).drop("mark")
 
 
 @query

@@ -126,17 +126,18 @@ def _judge(c: EntropyClass, allow: tuple[str, ...]) -> Callable[[Column], Column
     return odd
 
 
-def scan(df: DataFrame, text_col: str = "text", classes: tuple[EntropyClass, ...] = ENTROPY_CLASSES, allow: tuple[str, ...] = ALLOW) -> DataFrame:
-    """All columns of ``df`` plus ``secret_spans``, the spans found in the whole text.
+def scan(df: DataFrame, text_col: str = "text", classes: tuple[EntropyClass, ...] = ENTROPY_CLASSES, allow: tuple[str, ...] = ALLOW,
+         spans_col: str = "secret_spans") -> DataFrame:
+    """All columns of ``df`` plus ``spans_col``, the spans found in the whole text.
 
     Spans are structs (start, kind_order, end, kind) in code points, end
     exclusive, sorted by start and then by kind.  Base kinds (assign, access,
     hex) are always kept; entropy kinds are added unless an ``allow`` pattern
     finds the candidate.  A null or empty text has no spans.  Rows are judged
     alone: repeated rows get equal spans, no rows give no rows.  An input column
-    named ``secret_spans`` is replaced.
+    named like ``spans_col`` is replaced; others may have any name.
     """
-    names = [c for c in df.columns if c != "secret_spans"]
+    names = [c for c in df.columns if c != spans_col]
     patterns = [("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), *((c.kind, c.pattern) for c in classes)]
     rows = df.select(F.struct(*(df[c] for c in names)).alias("row"), as_text(text_col).alias("text"))
     hits = rows.withColumns({f"hits_{kind}": F.regexp_extract_all("text", F.lit(pattern), F.lit(0)) for kind, pattern in patterns})
@@ -145,7 +146,7 @@ def scan(df: DataFrame, text_col: str = "text", classes: tuple[EntropyClass, ...
     found += [F.filter(f"found_{c.kind}", _judge(c, allow)) for c in classes]
     none = F.array().cast(SPAN)
     slim = [F.coalesce(F.transform(f, lambda s: F.struct(s["start"].alias("start"), s["kind_order"].alias("kind_order"), s["end"].alias("end"), s["kind"].alias("kind"))), none) for f in found]
-    return placed.select("row.*", F.array_sort(F.concat(*slim)).alias("secret_spans"))
+    return placed.select("row.*", F.array_sort(F.concat(*slim)).alias(spans_col))
 
 
 def span_text(spans: Column) -> Column:
