@@ -1,37 +1,13 @@
 """Near duplicates and repeated strings against brute force."""
 
 import random
-from collections import Counter
-from itertools import combinations
 
 import numpy as np
 import pytest
 
 from strata.llm import near_dedup, queries, suffix_dedup
 
-
-def bag(text):
-    words = (text or "").lower().split()
-    return Counter(tuple(words[i:i + 5]) for i in range(max(len(words) - 4, 1))) if words else Counter()
-
-
-def brute_classes(rows, similarity=0.8):
-    bags = {i: bag(t) for i, t in rows}
-    parent = {i: i for i in bags}
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for a, b in combinations(sorted(bags), 2):
-        x, y = bags[a], bags[b]
-        if x and y:
-            common = (x & y).total()
-            if common >= similarity * (x.total() + y.total() - common):
-                a, b = find(a), find(b)
-                parent[max(a, b)] = min(a, b)
-    return {i: find(i) for i in parent}
+from brute import brute_classes
 
 
 def test_signatures_estimate_weighted_jaccard():
