@@ -80,7 +80,9 @@ def distance(p: Column, q: Column) -> Column:
     norm = lambda a: F.transform(a, lambda x: x / F.nullif(total(a), F.lit(0.0)))
     half = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
     parts = F.zip_with(norm(p), norm(q), lambda x, y: half(x, (x + y) / 2) + half(y, (x + y) / 2))
-    return F.sqrt(F.greatest(total(parts) / 2, F.lit(0.0)))
+    half_sum = total(parts) / 2
+    root = F.sqrt(F.when(half_sum < 0, 0.0).otherwise(half_sum))  # rounding may leave it below 0
+    return F.when((total(p) > 0) & (total(q) > 0), root)
 
 
 def score_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
