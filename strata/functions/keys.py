@@ -1,11 +1,11 @@
-"""Surrogate and natural keys, and a size-checked broadcast.
+"""Surrogate and natural keys.
 
 ``dense_key`` numbers rows 1..N in a total order WITHOUT a single-partition
 window: rows are range-partitioned and sorted, each row gets its in-partition
-position (``monotonically_increasing_id`` low bits), the frame is checkpointed
-to the shared checkpoint folder so the numbering is stable if an executor is
-lost, and per-partition row counts (one row per partition, so a proven size
-bound) are turned into offsets and broadcast back.
+position (``monotonically_increasing_id`` low bits), the rows are written to
+the shared scratch folder so the numbering is stable if an executor is lost,
+and per-partition row counts (one row per partition, so a proven size bound)
+are turned into offsets and broadcast back.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import checkpoint_root
+from strata.session import scratch_path
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -24,35 +24,28 @@ def natural_key(c: Column | str) -> Column:
     return F.md5(c)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    Use for lookup tables that are small by definition (nation, region, a
-    calendar); above the bound the plain frame is returned and Spark picks a
-    shuffle join (AQE may still broadcast it at run time from real sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def order_spec(cols: list[str | Column]) -> list[Column]:
     """Ascending, NULLs first, for plain column names; Columns are kept as given."""
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in cols]
 
 
 def dense_key(df: DataFrame, order_by: list[str | Column], out_col: str,
-              num_partitions: int | None = None) -> DataFrame:
-    """Add ``out_col`` = 1..N following ``order_by`` (ties in arbitrary but fixed order)."""
+              rows_per_partition: int = 250_000) -> DataFrame:
+    """Add ``out_col`` = 1..N following ``order_by`` (ties in arbitrary but fixed order).
+
+    The input is written once to the scratch folder, so that its rows are
+    computed once and their number is known; partitions hold about
+    ``rows_per_partition`` rows whatever the size of the table.
+    """
     spark = df.sparkSession
-    checkpoint_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    source, staged_path = (scratch_path(spark, name) for name in ("key-source", "key-sorted"))
+    df.write.parquet(source)
+    rows = spark.read.schema(df.schema).parquet(source)
+    n = max(1, -(-rows.count() // rows_per_partition))
     spec = order_spec(order_by)
-    staged = (
-        df.repartitionByRange(n, *spec)
-        .sortWithinPartitions(*spec)
-        .withColumn("_dk_id", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+    (rows.repartitionByRange(n, *spec).sortWithinPartitions(*spec)
+     .withColumn("_dk_id", F.monotonically_increasing_id()).write.parquet(staged_path))
+    staged = spark.read.parquet(staged_path)
     pid = F.shiftright(F.col("_dk_id"), 33)
     counts = staged.groupBy(pid.alias("_dk_pid")).agg(F.count(F.lit(1)).alias("_dk_n"))
     # one row per partition: the window below and the broadcast are bounded by n
@@ -67,8 +60,3 @@ def dense_key(df: DataFrame, order_by: list[str | Column], out_col: str,
     return keyed.withColumn(
         out_col, (F.col("_dk_off") + F.col("_dk_id").bitwiseAND(F.lit(_LOW_BITS)) + 1).cast("bigint")
     ).drop("_dk_id", "_dk_pid", "_dk_off")
-
-
-def small_dense_key(df: DataFrame, order_by: list[str | Column], out_col: str) -> DataFrame:
-    """Global ``row_number`` for tables bounded by construction (e.g. a month calendar)."""
-    return df.withColumn(out_col, F.row_number().over(Window.orderBy(*order_spec(order_by))).cast("bigint"))

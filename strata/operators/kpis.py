@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.numeric import MONEY, money_avg, money_sum, round_half_up
+from strata.functions.numeric import double_part, exact_part, money_avg, money_sum, money_total, round_half_up, safe_div
 
 # Source labels of the executive summary.
 SOURCE_HISTORICAL = "Ventas Históricas"
@@ -31,11 +31,11 @@ def per_key(fact: DataFrame, key: str, money: str = "sales", qty: str | None = "
     shuffle every fact row by key (a hot key landing in one task) whenever the
     dimension is too large to broadcast.  Grouping by the key first is a
     partial + final aggregate (map-side combine), and the join then sees one row
-    per key.  Money is carried as an exact DECIMAL sum plus its non-NULL count,
-    so the re-aggregated totals and averages equal the one-step ones exactly.
+    per key.  Money is carried as the sums of ``money_sum``'s two parts plus its
+    non-NULL count, so the re-aggregated totals equal the one-step ones.
     """
-    m = F.col(money).cast(MONEY)
-    parts = [F.count(F.lit(1)).alias("_n"), F.sum(m).alias("_msum"), F.count(m).alias("_mcnt")]
+    parts = [F.count(F.lit(1)).alias("_n"), F.sum(exact_part(money)).alias("_msum"),
+             F.sum(double_part(money)).alias("_mrest"), F.count(money).alias("_mcnt")]
     if qty:
         parts.append(F.sum(qty).alias("_qty"))
     return fact.groupBy(key).agg(*parts)
@@ -49,12 +49,16 @@ def _units() -> F.Column:
     return F.sum("_qty")
 
 
+def _pre_sum() -> F.Column:
+    return money_total(F.sum("_msum"), F.sum("_mrest"))
+
+
 def _pre_total() -> F.Column:
-    return round_half_up(F.sum("_msum").cast("double"), 2)
+    return round_half_up(_pre_sum(), 2)
 
 
 def _pre_avg() -> F.Column:
-    return round_half_up(F.sum("_msum").cast("double") / F.sum("_mcnt"), 2)
+    return round_half_up(safe_div(_pre_sum(), F.sum("_mcnt")), 2)
 
 
 def sales_by_channel(fact: DataFrame) -> DataFrame:
@@ -112,7 +116,7 @@ def team_performance(fact: DataFrame, dim_rep: DataFrame) -> DataFrame:
                 reps.alias("num_reps"),
                 _n().alias("num_transacciones"),
                 _pre_total().alias("ventas_totales"),
-                round_half_up(F.sum("_msum").cast("double") / reps, 2).alias("ventas_por_rep"))
+                round_half_up(safe_div(_pre_sum(), reps), 2).alias("ventas_por_rep"))
             .orderBy(F.desc("ventas_totales"), F.asc_nulls_first("sales_team")))
 
 
@@ -150,10 +154,10 @@ def hist_vs_stream(fact: DataFrame, fact_orders: DataFrame, dim_product: DataFra
                    n: int = 15) -> DataFrame:
     p = dim_product.select("product_sk", "product_name")
     hist = (per_key(fact, "product_sk", qty=None).join(p, "product_sk").groupBy("product_name")
-            .agg(F.sum("_msum").cast("double").alias("ventas_historicas")))
+            .agg(_pre_sum().alias("ventas_historicas")))
     stream = (per_key(fact_orders, "product_sk", money="total_amount", qty=None).join(p, "product_sk")
               .groupBy(F.col("product_name").alias("s_product_name"))
-              .agg(F.sum("_msum").cast("double").alias("s_pedidos")))
+              .agg(_pre_sum().alias("s_pedidos")))
     joined = hist.join(stream, F.col("product_name") == F.col("s_product_name"), "full_outer")
     return (joined.where(F.col("s_pedidos").isNotNull())
             .select(F.coalesce("product_name", "s_product_name").alias("product_name"),

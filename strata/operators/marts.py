@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.numeric import money_avg, money_sum, round_half_up, safe_div
+from strata.functions.numeric import double_part, exact_part, money_avg, money_sum, money_total, round_half_up, safe_div
 
 # Forecast accuracy bands (lower bound in %, label), best first.
 ACCURACY_BANDS = [(90, "Excelente"), (80, "Bueno"), (70, "Aceptable")]
@@ -64,24 +64,35 @@ def sales_rep_performance(fact: DataFrame, dim_rep: DataFrame) -> DataFrame:
 
 
 def geographic_analysis(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    """Per (country, city) of the customer; mean coordinates are weighted by transactions."""
+    """Per (country, city) of the customer; mean coordinates are weighted by transactions.
+
+    Facts are combined per (customer, rep, product) before they meet the dimension.
+    """
     c = dim_customer.select("customer_sk", F.col("country").alias("c_country"),
                             F.col("city").alias("c_city"), F.col("latitude").alias("c_lat"),
                             F.col("longitude").alias("c_lon"))
-    customers = F.countDistinct("customer_sk")
-    return (fact.select("customer_sk", "sales_rep_sk", "product_sk", "sales", "qty").join(c, "customer_sk")
+    parts = fact.groupBy("customer_sk", "sales_rep_sk", "product_sk").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(exact_part("sales")).alias("_msum"),
+        F.sum(double_part("sales")).alias("_mrest"), F.count("sales").alias("_mcnt"), F.sum("qty").alias("_qty"))
+    customers, total = F.countDistinct("customer_sk"), money_total(F.sum("_msum"), F.sum("_mrest"))
+
+    def mean(col: str) -> F.Column:
+        n = F.sum(F.when(F.col(col).isNotNull(), F.col("_n")))
+        return round_half_up(safe_div(F.sum(F.col(col) * F.col("_n")), n), 6)
+
+    return (parts.join(c, "customer_sk")
             .groupBy(F.col("c_country").alias("country"), F.col("c_city").alias("city")).agg(
                 customers.alias("total_customers"),
                 F.countDistinct("sales_rep_sk").alias("sales_reps_active"),
-                F.count(F.lit(1)).alias("total_transactions"),
-                _r2(money_sum("sales")).alias("total_sales"),
-                _r2(money_avg("sales")).alias("avg_transaction_value"),
-                F.sum("qty").alias("total_units_sold"),
+                F.sum("_n").alias("total_transactions"),
+                _r2(total).alias("total_sales"),
+                _r2(safe_div(total, F.sum("_mcnt"))).alias("avg_transaction_value"),
+                F.sum("_qty").alias("total_units_sold"),
                 F.countDistinct("product_sk").alias("products_sold"),
-                _r2(safe_div(money_sum("sales"), customers)).alias("sales_per_customer"),
-                _r2(safe_div(money_sum("sales"), F.count(F.lit(1)))).alias("avg_ticket"),
-                round_half_up(F.avg("c_lat"), 6).alias("avg_latitude"),
-                round_half_up(F.avg("c_lon"), 6).alias("avg_longitude"))
+                _r2(safe_div(total, customers)).alias("sales_per_customer"),
+                _r2(safe_div(total, F.sum("_n"))).alias("avg_ticket"),
+                mean("c_lat").alias("avg_latitude"),
+                mean("c_lon").alias("avg_longitude"))
             .orderBy(F.desc("total_sales"), F.asc_nulls_first("country"), F.asc_nulls_first("city")))
 
 

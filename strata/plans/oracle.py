@@ -21,7 +21,8 @@ def r(x: str, d: int = 2) -> str:
 
 
 def msum(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+    """SUM of the decimals that the doubles print as: no digit is cut."""
+    return f"CAST(SUM(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(28,10))) AS DOUBLE)"
 
 
 def mavg(x: str) -> str:
@@ -76,7 +77,7 @@ def order_by_all(first: list[str], rest: list[str]) -> str:
     return ", ".join(first + [f"{c} ASC NULLS FIRST" for c in rest])
 
 
-UNIT_PRICE = r("l_extendedprice / l_quantity")
+UNIT_PRICE = r("l_extendedprice / NULLIF(l_quantity, 0)")
 PRODUCT_NAME = "concat_ws(' ', p_name, CAST(p_partkey AS VARCHAR))"
 
 # ---------------------------------------------------------------- shared CTEs

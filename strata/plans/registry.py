@@ -154,14 +154,13 @@ FROM (SELECT cluster_label, COUNT(*) AS num_customers, {r(mavg('total_sales'))}
       FROM banded_clusters GROUP BY cluster_label)"""
 _bands = " ".join(f"WHEN product_accuracy_pct >= {b} THEN '{lbl}'" for b, lbl in marts.ACCURACY_BANDS)
 _MARTS["mart_forecast"] = f"""
-SELECT pa.*, CASE {_bands} ELSE '{marts.ACCURACY_FALLBACK}' END AS accuracy_category,
-       {r('fd.model_r2', 6)} AS model_r2, {r('fd.model_rmse', 6)} AS model_rmse
+SELECT *, CASE {_bands} ELSE '{marts.ACCURACY_FALLBACK}' END AS accuracy_category
 FROM (SELECT product_name, COUNT(*) AS num_predictions, {r(mavg('actual_sales'))} AS avg_actual_sales,
              {r('AVG(predicted_sales)')} AS avg_predicted_sales, {r('AVG(percentage_error)')} AS product_mape,
              {r('AVG(forecast_accuracy)')} AS product_accuracy_pct, {r(msum('actual_sales'))} AS total_actual_sales,
-             {r('SUM(predicted_sales)')} AS total_predicted_sales
-      FROM naive_forecast GROUP BY product_name) pa
-CROSS JOIN (SELECT DISTINCT model_r2, model_rmse FROM naive_forecast LIMIT 1) fd"""
+             {r('SUM(predicted_sales)')} AS total_predicted_sales,
+             {r('MAX(model_r2)', 6)} AS model_r2, {r('MAX(model_rmse)', 6)} AS model_rmse
+      FROM naive_forecast GROUP BY product_name)"""
 
 ALL_EXTRA = {**ML_CTES, **_MARTS}
 
@@ -202,9 +201,9 @@ def kpi_top_products(spark, sf):
 
 # The SQL entry point: the same text runs on Spark over the Lakehouse's temp views
 # and, as the oracle, on DuckDB over the independently built tables.
-SQL_TOP_PRODUCTS = f"""
-SELECT p.product_name, p.product_class, COUNT(*) AS num_transacciones,
-       CAST(SUM(f.qty) AS BIGINT) AS unidades_vendidas, {r(msum('f.sales'))} AS ventas_totales
+SQL_TOP_PRODUCTS = """
+SELECT p.product_name, p.product_class, COUNT(*) AS num_transacciones, CAST(SUM(f.qty) AS BIGINT) AS unidades_vendidas,
+       CAST(ROUND(SUM(CAST(f.sales AS DECIMAL(28,10))), 2) AS DOUBLE) AS ventas_totales
 FROM fact_sales f JOIN dim_product p ON f.product_sk = p.product_sk
 GROUP BY p.product_name, p.product_class
 ORDER BY ventas_totales DESC, p.product_name, p.product_class LIMIT 10"""
@@ -274,14 +273,13 @@ def kpi_orders_summary(spark, sf):
 
 
 @q("kpi_hist_vs_stream", f"""
-SELECT COALESCE(h.product_name, s.product_name) AS product_name,
-       {r('COALESCE(h.vh, 0.0)')} AS ventas_historicas, {r('COALESCE(s.ps, 0.0)')} AS pedidos_streaming
-FROM (SELECT p.product_name, {msum('f.sales')} AS vh FROM fact_sales f
-      JOIN dim_product p ON f.product_sk = p.product_sk GROUP BY p.product_name) h
-FULL OUTER JOIN (SELECT p.product_name, {msum('o.total_amount')} AS ps FROM fact_orders o
-      JOIN dim_product p ON o.product_sk = p.product_sk GROUP BY p.product_name) s
-  ON h.product_name = s.product_name
-WHERE s.ps IS NOT NULL
+SELECT product_name, {r("COALESCE(MAX(total) FILTER (WHERE kind = 'sales'), 0.0)")} AS ventas_historicas,
+       {r("MAX(total) FILTER (WHERE kind = 'orders')")} AS pedidos_streaming
+FROM (SELECT product_name, kind, {msum('amount')} AS total
+      FROM (SELECT product_sk, 'sales' AS kind, sales AS amount FROM fact_sales
+            UNION ALL SELECT product_sk, 'orders', total_amount FROM fact_orders) JOIN dim_product USING (product_sk)
+      GROUP BY product_name, kind)
+GROUP BY product_name HAVING MAX(total) FILTER (WHERE kind = 'orders') IS NOT NULL
 ORDER BY pedidos_streaming DESC, product_name LIMIT 15""")
 def kpi_hist_vs_stream(spark, sf):
     h = lh(spark, sf)
@@ -428,14 +426,11 @@ def ml_customer_clusters(spark, sf):
 
 @q("ml_silhouette")
 def ml_silhouette(spark, sf):
-    feats = ml.customer_features(lh(spark, sf).silver_sales())
-    scaled = ml.one_wave(ml.scale_features(feats)).cache()
-    preds, _ = ml.kmeans_assign(scaled)
-    value = ml.silhouette(preds)
-    scaled.unpersist()  # the fit and the score are done; the counts below re-derive cheaply
-    counts = preds.groupBy().agg(F.count(F.lit(1)).alias("customers"),
-                                 F.countDistinct("cluster_id").alias("clusters"))
-    return counts.select(F.lit(value).alias("silhouette"), "customers", "clusters")
+    """The silhouette of the stored segments over the features they were made from."""
+    stored = lh(spark, sf).ml_customer_clusters()
+    scaled = ml.scale_features(stored.withColumn("customer_name", F.col("customer_id")))
+    counts = stored.agg(F.count(F.lit(1)).alias("customers"), F.countDistinct("cluster_id").alias("clusters"))
+    return counts.select(F.lit(ml.silhouette(scaled)).alias("silhouette"), "customers", "clusters")
 
 
 @q("cluster_stats", "SELECT * FROM banded_stats")
