@@ -21,6 +21,14 @@ def test_stream_is_incremental_and_idempotent(spark, sf_dir):
     assert spark.read.parquet(f"{base}/out").count() == total
 
 
+def test_stream_takes_a_backlog_in_bounded_batches(spark, sf_dir):
+    base = scratch_path(spark, "stream-backlog")
+    lines = adapter.order_event_lines(Tables(spark, sf_dir)).repartition(6)
+    lines.write.text(f"{base}/landing")
+    batches = run_orders_to_bronze(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=2)
+    assert batches == 3 and spark.read.parquet(f"{base}/out").count() == lines.count()
+
+
 def test_malformed_payload_gives_null_row(spark):
     from strata.streaming.orders import parse_order_events
     raw = spark.createDataFrame([('{"event_id": "E1", "qty": 3}',), ("#corrupt {",)], "value string")
