@@ -1,8 +1,7 @@
 """Gold star schema: four dimensions and two facts.
 
 Dimensions get dense surrogate keys without a single-partition window (see
-``strata.functions.keys.dense_key``); only the month calendar, which is
-bounded by construction, uses a plain global ``row_number``.  Facts look up
+``strata.functions.keys.dense_key``).  Facts look up
 keys with left joins by business name; Spark picks broadcast or sort-merge
 from the dimension's real size (AQE), and AQE's skew-join split handles a
 name that carries a large share of the facts.
@@ -14,28 +13,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.dates import month_name, month_number
-from strata.functions.keys import bounded_broadcast, dense_key, natural_key, small_dense_key
-
-# a calendar holds at most 12 rows per year; this bound is far above any real span
-_CALENDAR_MAX_ROWS = 120_000
+from strata.functions.keys import dense_key, natural_key
 
 
 def dim_time(silver_sales: DataFrame, silver_orders: DataFrame | None = None) -> DataFrame:
+    """One row for each (year, month text) that occurs; an unknown month has no number.
+
+    Month is free text, so the calendar is numbered like every other dimension.
+    """
     months = silver_sales.select(F.col("year").cast("int").alias("year"), "month").distinct()
     if silver_orders is not None:
         order_months = silver_orders.select(
             F.year("event_ts").cast("int").alias("year"), month_name("event_ts").alias("month"))
         months = months.unionByName(order_months).distinct()
-    quarter = (F.floor((F.col("month_num") - 1) / 3) + 1).cast("int")
-    cal = (
-        months.withColumn("month_num", month_number("month"))
-        .withColumn("quarter", quarter)
-        .withColumn("quarter_name", F.concat_ws("", F.lit("Q"), F.col("quarter").cast("string")))
-        .withColumn("year_month", F.concat_ws("-", F.col("year").cast("string"),
-                                              F.col("month_num").cast("string")))
-    )
-    cal = small_dense_key(cal, ["year", "month_num", "month"], "time_sk")
-    return cal.select("time_sk", "year", "month", "month_num", "quarter", "quarter_name", "year_month")
+    number = month_number("month")
+    quarter = (F.floor((number - 1) / 3) + 1).cast("int")
+    calendar = months.select(
+        "year", "month", number.alias("month_num"), quarter.alias("quarter"),
+        F.concat_ws("", F.lit("Q"), quarter.cast("string")).alias("quarter_name"),
+        F.concat_ws("-", F.col("year").cast("string"), number.cast("string")).alias("year_month"))
+    keyed = dense_key(calendar, ["year", "month_num", "month"], "time_sk")
+    return keyed.select("time_sk", *calendar.columns)
 
 
 def calendar_attributes(dim_time: DataFrame) -> DataFrame:
@@ -81,9 +79,7 @@ def dim_sales_rep(silver_sales: DataFrame) -> DataFrame:
 
 def fact_sales(silver_sales: DataFrame, dim_time_df: DataFrame, dim_product_df: DataFrame,
                dim_customer_df: DataFrame, dim_sales_rep_df: DataFrame) -> DataFrame:
-    cal = bounded_broadcast(
-        dim_time_df.select("time_sk", F.col("year").alias("_t_year"), F.col("month").alias("_t_month")),
-        _CALENDAR_MAX_ROWS)
+    cal = dim_time_df.select("time_sk", F.col("year").alias("_t_year"), F.col("month").alias("_t_month"))
     f = (
         silver_sales
         .join(cal, (F.col("year") == F.col("_t_year")) & (F.col("month") == F.col("_t_month")), "left")

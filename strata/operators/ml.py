@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.dates import month_number_or_january, month_start
-from strata.functions.numeric import money_avg, money_sum, round_half_up
+from strata.functions.numeric import money_avg, money_sum, round_half_up, safe_div
 
 # Clustering features, in vector order.
 CLUSTER_FEATURES = ["total_sales", "total_qty", "transaction_count", "avg_transaction_value"]
@@ -113,15 +113,20 @@ def label_customers(predictions: DataFrame, labels: DataFrame) -> DataFrame:
         F.current_timestamp().alias("created_at"))
 
 
-def one_wave(training: DataFrame) -> DataFrame:
-    """Spread a training frame over exactly one partition per core of the application.
+#: partitions of a training frame; a parameter and not the number of cores, because MLlib's random
+#: starts and split candidates depend on it: the same data give the same model on any cluster
+TRAINING_PARTITIONS = 32
 
-    MLlib fits run hundreds of small jobs (GBT: one per tree level and iteration);
-    with more partitions than cores every job needs several task waves, with
-    fewer some cores idle.  The round-robin exchange moves only the aggregated
-    training rows, and at cluster scale it still gives every core one slice.
+
+def training_frame(df: DataFrame, keys: tuple[str, ...], partitions: int = TRAINING_PARTITIONS) -> DataFrame:
+    """Rows placed by the hash of ``keys[0]`` and sorted by all keys: the same frame for every cluster size.
+
+    A fit is hundreds of small jobs with a task a partition.  Set ``partitions``
+    so that one holds some hundred thousand rows; the frames have a row for each
+    customer, or each product, country and month, and can be nearly as long as
+    the facts.
     """
-    return training.repartition(training.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(partitions, keys[0]).sortWithinPartitions(*keys)
 
 
 def customer_segments(silver_sales: DataFrame, k: int = 3, seed: int = 42,
@@ -131,8 +136,8 @@ def customer_segments(silver_sales: DataFrame, k: int = 3, seed: int = 42,
     ``cached`` receives the frame cached for the fit; unpersist it once the table is written.
     """
     feats = customer_features(silver_sales)
-    # fit is iterative: cache the small training frame only, one partition per core
-    scaled = one_wave(scale_features(feats)).cache()
+    # the fit is iterative: cache its frame
+    scaled = training_frame(scale_features(feats), ("customer_name",)).cache()
     if cached is not None:
         cached.append(scaled)
     preds, model = kmeans_assign(scaled, k, seed)
@@ -225,7 +230,7 @@ def fit_gbt(train: DataFrame, seed: int = 42):
 
 def regression_metrics(pred: DataFrame, label: str = "total_sales",
                        prediction: str = "predicted_sales") -> DataFrame:
-    """One row: rmse, mae, r2 (same definitions as MLlib's RegressionEvaluator)."""
+    """One row: rmse, mae, r2 (same definitions as MLlib's RegressionEvaluator); r2 is NULL for a constant label."""
     err = F.col(label) - F.col(prediction)
     m = pred.agg(
         F.sqrt(F.avg(err * err)).alias("rmse"),
@@ -233,7 +238,7 @@ def regression_metrics(pred: DataFrame, label: str = "total_sales",
         F.sum(err * err).alias("_sse"),
         (F.var_pop(label) * F.count(F.lit(1))).alias("_sst"),
         F.count(F.lit(1)).alias("n"))
-    return m.select("rmse", "mae", (1 - F.col("_sse") / F.col("_sst")).alias("r2"), "n")
+    return m.select("rmse", "mae", (1 - safe_div(F.col("_sse"), F.col("_sst"))).alias("r2"), "n")
 
 
 def forecast_errors(pred: DataFrame) -> DataFrame:
@@ -264,7 +269,8 @@ def demand_forecast(silver_sales: DataFrame, keys: tuple[str, ...] = FORECAST_KE
 
     ``cached`` receives the frame cached for the fit; unpersist it once the result is written.
     """
-    split = one_wave(split_train_test(forecast_features(monthly_demand(silver_sales, keys), keys))).cache()
+    split = training_frame(split_train_test(forecast_features(monthly_demand(silver_sales, keys), keys)),
+                           (*keys, "year_month")).cache()
     if cached is not None:
         cached.append(split)
     model = fit_gbt(split.where(F.col("split") == "train"))

@@ -74,24 +74,30 @@ def suite(parts: list[DataFrame]) -> DataFrame:
     return _union(parts)
 
 
+def _row_groups(df: DataFrame) -> DataFrame:
+    """The distinct rows with how often each occurs (``_n``), without ingestion metadata."""
+    data = df.drop("_ingested_at", "_source_file")
+    return data.groupBy(*data.columns).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _rows_where(condition: F.Column | None = None) -> F.Column:
+    n = F.col("_n") if condition is None else F.when(condition, F.col("_n"))
+    return F.coalesce(F.sum(n), F.lit(0))
+
+
 def bronze_sales_checks(bronze: DataFrame) -> DataFrame:
-    """total, NULL quantity / price and exact duplicates (total - distinct rows)."""
-    data = bronze.drop("_ingested_at", "_source_file")
-    totals = data.agg(F.count(F.lit(1)).alias("total_records"),
-                      F.count_if(F.col("quantity").isNull()).alias("null_quantity"),
-                      F.count_if(F.col("price").isNull()).alias("null_price"))
-    distinct = data.distinct().agg(F.count(F.lit(1)).alias("_distinct"))
-    return (totals.crossJoin(distinct)
-            .withColumn("exact_duplicates", F.col("total_records") - F.col("_distinct"))
-            .drop("_distinct"))
+    """total, NULL quantity / price and exact duplicates (total - distinct rows), in one pass."""
+    return _row_groups(bronze).agg(
+        _rows_where().alias("total_records"),
+        _rows_where(F.col("quantity").isNull()).alias("null_quantity"),
+        _rows_where(F.col("price").isNull()).alias("null_price"),
+        (_rows_where() - F.count(F.lit(1))).alias("exact_duplicates"))
 
 
 def exact_duplicates(df: DataFrame) -> DataFrame:
-    data = df.drop("_ingested_at", "_source_file")
-    total = data.agg(F.count(F.lit(1)).alias("total_records"))
-    distinct = data.distinct().agg(F.count(F.lit(1)).alias("distinct_records"))
-    return total.crossJoin(distinct).withColumn(
-        "exact_duplicates", F.col("total_records") - F.col("distinct_records"))
+    return _row_groups(df).agg(
+        _rows_where().alias("total_records"), F.count(F.lit(1)).alias("distinct_records"),
+        (_rows_where() - F.count(F.lit(1))).alias("exact_duplicates"))
 
 
 def non_date_counts(bronze_shipments: DataFrame, date_cols: list[str],

@@ -13,7 +13,7 @@
                         date columns and non-numeric weight / freight cells.
 
 All feeds derive from one join tree (lineitem x orders x customer x part x
-supplier, nation/region broadcast after a size check), so the work grows with
+supplier, nation/region, which Spark broadcasts by their size), so the work grows with
 the tables; ``landing_lines`` is that join, which the Lakehouse lands once and
 hands to every feed (each feed can also join the raw tables itself).  Dirty spacing and casing are injected by expression so the Silver
 cleaning has something to clean.
@@ -24,13 +24,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.keys import bounded_broadcast
-from strata.functions.numeric import round_half_up
+from strata.functions.numeric import round_half_up, safe_div
 from strata.sources.tables import Tables
 
-# nation x region is 25 rows in the schema; anything far above means a different dataset
-_GEO_MAX_ROWS = 10_000
-
 # Original header names of the wide sales CSV, in file order.
 SALES_HEADERS = [
     "Distributor", "Customer Name", "City", "Country", "Latitude", "Longitude",
@@ -56,7 +52,7 @@ def _geo(t: Tables, prefix: str) -> DataFrame:
         F.col("n_name").alias(f"{prefix}_nation"),
         F.col("r_name").alias(f"{prefix}_region"),
     )
-    return bounded_broadcast(geo, _GEO_MAX_ROWS)
+    return geo
 
 
 def enriched_lines(t: Tables, line_cols: list[str]) -> DataFrame:
@@ -101,7 +97,8 @@ def _lines(src: Tables | DataFrame, cols: list[str]) -> DataFrame:
 
 
 def _unit_price() -> F.Column:
-    return round_half_up(F.col("l_extendedprice") / F.col("l_quantity"), 2)
+    """NULL for a line of quantity 0, which the validity filter then rejects."""
+    return round_half_up(safe_div(F.col("l_extendedprice"), F.col("l_quantity")), 2)
 
 
 def _product_name() -> F.Column:

@@ -39,19 +39,18 @@ def read_csv(spark: SparkSession, path: str, infer_schema: bool = True,
     return reader.option("inferSchema", "true" if infer_schema else "false").csv(path)
 
 
-def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
-
-
 def load_safe(spark: SparkSession, path: str, empty_schema: StructType,
               fmt: str = "parquet") -> DataFrame:
-    """A missing path or an empty table yields an empty frame with ``empty_schema``.
+    """A missing path or an empty table yields an empty frame with ``empty_schema``;
+    whatever else is wrong with the table is an error.
 
     The emptiness probe reads at most one row (``isEmpty``), never a full count.
     """
     try:
         df = spark.read.format(fmt).load(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], empty_schema)
     if df.isEmpty():
         return spark.createDataFrame([], empty_schema)

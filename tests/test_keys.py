@@ -3,13 +3,13 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.functions.keys import bounded_broadcast, dense_key
+from strata.functions.keys import dense_key
 
 
 def test_dense_key_matches_global_row_number(spark):
     df = spark.range(0, 5000, numPartitions=7).select(
         (F.col("id") * 7919 % 5000).cast("string").alias("k"))
-    got = dense_key(df, ["k"], "sk", num_partitions=6)
+    got = dense_key(df, ["k"], "sk", rows_per_partition=900)
     exp = df.withColumn("sk", F.row_number().over(Window.orderBy("k")).cast("bigint"))
     assert sorted(got.collect()) == sorted(exp.collect())
 
@@ -18,17 +18,8 @@ def test_dense_key_with_hot_key_and_nulls(spark):
     # a third of the rows share one key; NULLs sort first
     rows = [("hot",)] * 300 + [(f"k{i:04d}",) for i in range(600)] + [(None,)] * 5
     df = spark.createDataFrame(rows, "k string").repartition(5)
-    got = dense_key(df, ["k"], "sk", num_partitions=4)
+    got = dense_key(df, ["k"], "sk", rows_per_partition=250)
     sks = sorted(r.sk for r in got.collect())
     assert sks == list(range(1, len(rows) + 1))
     nulls = sorted(r.sk for r in got.where(F.col("k").isNull()).collect())
     assert nulls == [1, 2, 3, 4, 5]
-
-
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert "broadcast" in small.hint("broadcast")._jdf.queryExecution().logical().toString().lower()
-    assert bounded_broadcast(big, 50) is big
-    plan = bounded_broadcast(small, 50)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" in plan
