@@ -70,8 +70,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and offsets of every document, and digests of the ids and of what they decode to."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.decode_documents(bpe.encode_documents(docs, ranks), ranks).select(
-        "doc_id", "n_tokens", "token_ids", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = bpe.encode_documents(docs, ranks, outputs=("token_ids", "token_offsets", "decoded"))
+    return encoded.select("doc_id", "n_tokens", "token_ids", "token_offsets", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from strata.llm import pretokens
-from strata.llm.common import as_text, by_volume, map_arrow
+from strata.llm.common import as_text, by_rows, by_volume, map_arrow
 
 LONG = 64
 NONE = np.int64(1) << 40
@@ -174,62 +174,63 @@ class Encoder:
             yield ids, np.concatenate([[0], ends[:-1]]).astype("<u4").tobytes() if len(ends) else b""
 
 
-def encode_documents(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-                     cache_entries: int = 400_000, group_chars: int = 1 << 20) -> DataFrame:
+def decode_tokens(pieces: list[bytes], ids: bytes, offsets: bytes) -> bytes:
+    """The bytes of packed token ids; the retained offsets must fit them."""
+    tokens = np.frombuffer(ids, "<u4").tolist()
+    text = b"".join(map(pieces.__getitem__, tokens))
+    if tokens and int(np.frombuffer(offsets, "<u4")[-1]) + len(pieces[tokens[-1]]) != len(text):
+        raise ValueError("token offsets do not fit the ids")
+    return text
+
+
+def encode_documents(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", outputs: tuple[str, ...] = ("token_ids", "token_offsets"),
+                     cache_entries: int = 200_000, group_chars: int = 1 << 18) -> DataFrame:
     """Encode every whole text with the rank file at ``vocabulary``.
 
-    Returns ``<id_col>, n_tokens, token_ids, token_offsets``, one row for each
-    input row: ids and the byte offset at which each token begins, both as
-    little-endian unsigned 32-bit integers.  Only the two named columns are
-    read, so others may have any name.  A null text counts as empty; an empty
-    text has 0 tokens; equal rows give equal rows; no rows give no rows.  The
-    rank file is read on the driver and broadcast (its size is fixed, under 1 MB).
-    Texts are handled in runs of about ``group_chars`` code points; one longer
-    text makes its own run.
+    Returns ``<id_col>, n_tokens`` and the ``outputs``, one row for each input
+    row: token_ids and token_offsets (the byte at which each token begins), both
+    as little-endian unsigned 32-bit integers, and decoded, the bytes that ids
+    and offsets decode to.  Only the two named columns are read, so others may
+    have any name.  A null text counts as empty; an empty text has 0 tokens;
+    equal rows give equal rows; no rows give no rows.  The rank file is read on
+    the driver and broadcast (its size is fixed, under 1 MB).  Texts are handled
+    in runs of about ``group_chars`` code points; a longer text makes its own run.
     """
     shared = df.sparkSession.sparkContext.broadcast(Merges.from_ranks(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, cache_entries)
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+        pieces = shared.value.pieces
+        for batch in by_rows(batches):
+            texts = batch.column(1).to_pylist()
             done = [x for group in by_volume(texts, map(len, texts), group_chars) for x in encoder.texts(group)]
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(x) // 4 for x, _ in done], pa.int64()), pa.array([x for x, _ in done], pa.binary()),
-                 pa.array([x for _, x in done], pa.binary())], names=["id", "n_tokens", "token_ids", "token_offsets"])
+            made = {"token_ids": (ids for ids, _ in done), "token_offsets": (offsets for _, offsets in done),
+                    "decoded": (decode_tokens(pieces, ids, offsets) for ids, offsets in done)}
+            counts = pa.array([len(ids) // 4 for ids, _ in done], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), counts, *(pa.array(list(made[x]), pa.binary()) for x in outputs)], names=["id", "n_tokens", *outputs])
 
     rows = df.select(df[id_col].alias("id"), as_text(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    out = map_arrow(rows, run, f"id {kind}, n_tokens long, token_ids binary, token_offsets binary")
+    out = map_arrow(rows, run, f"id {kind}, n_tokens long" + "".join(f", {x} binary" for x in outputs))
     return out.withColumnRenamed("id", id_col)
 
 
 def decode_documents(df: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "token_ids",
                      offsets_col: str = "token_offsets") -> DataFrame:
-    """Decode what ``encode_documents`` returned: ``<id_col>, n_tokens, token_ids, decoded``.
+    """Decode what ``encode_documents`` returned: ``<id_col>, n_tokens, decoded``.
 
-    ``decoded`` is the bytes of the tokens, each put at its retained offset.
     Null ids count as none and decode to no bytes.  Ids outside the vocabulary
-    raise an error.
+    and offsets that don't fit raise an error.
     """
     shared = df.sparkSession.sparkContext.broadcast(Merges.from_ranks(vocabulary).pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = shared.value
-        for batch in batches:
-            decoded, counts = [], []
-            for ids, offsets in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                tokens = np.frombuffer(ids or b"", "<u4").tolist()
-                text = b"".join(map(pieces.__getitem__, tokens))
-                last = int(np.frombuffer(offsets, "<u4")[-1]) + len(pieces[tokens[-1]]) if tokens and offsets else len(text)
-                if last != len(text):
-                    raise ValueError("token offsets do not fit the ids")
-                decoded.append(text)
-                counts.append(len(tokens))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), batch.column(1),
-                                              pa.array(decoded, pa.binary())], names=["id", "n_tokens", "token_ids", "decoded"])
-
-    rows = df.select(df[id_col].alias("id"), df[ids_col].cast("binary").alias("token_ids"), df[offsets_col].cast("binary").alias("token_offsets"))
+        for batch in by_rows(batches):
+            ids, offsets = (batch.column(i).to_pylist() for i in (1, 2))
+            decoded = [decode_tokens(shared.value, x or b"", y or b"") for x, y in zip(ids, offsets)]
+            counts = pa.array([len(x or b"") // 4 for x in ids], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), counts, pa.array(decoded, pa.binary())], names=["id", "n_tokens", "decoded"])
+
+    rows = df.select(df[id_col].alias("id"), df[ids_col].cast("binary").alias("ids"), df[offsets_col].cast("binary").alias("offsets"))
     kind = rows.schema["id"].dataType.simpleString()
-    out = map_arrow(rows, run, f"id {kind}, n_tokens long, token_ids binary, decoded binary")
-    return out.withColumnRenamed("id", id_col)
+    return map_arrow(rows, run, f"id {kind}, n_tokens long, decoded binary").withColumnRenamed("id", id_col)

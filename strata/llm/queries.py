@@ -24,9 +24,8 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode the ids, digest both."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode_documents(read_table(spark, sf_dir, "documents"), ranks)
-    return bpe.decode_documents(encoded, ranks).select(
-        "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = bpe.encode_documents(read_table(spark, sf_dir, "documents"), ranks, outputs=("token_ids", "decoded"))
+    return encoded.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query
