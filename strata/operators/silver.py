@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +31,22 @@ SALES_COLUMNS = [
 BRONZE_METADATA = ["_ingested_at", "_source_file"]
 
 
-def bronze_sales(raw: DataFrame, source_file: str = "pharma-data.csv") -> DataFrame:
-    """Snake-case the CSV headers and stamp ingestion metadata (one projection)."""
-    df = normalize_columns(raw)
-    return df.withColumns({"_ingested_at": F.current_timestamp(), "_source_file": F.lit(source_file)})
+def _with_metadata(raw: DataFrame, strict: bool) -> DataFrame:
+    """Normalise the headers; stamp the ingestion time and the file that each row was read from.
+
+    A frame that was not read from files has no file name.
+    """
+    try:
+        source = raw.select("*", F.col("_metadata.file_name").alias("_source_file"))
+    except AnalysisException:
+        source = raw.withColumn("_source_file", F.lit(None).cast("string"))
+    names = normalize_columns(raw, strict=strict).columns
+    return source.toDF(*names, "_source_file").withColumn("_ingested_at", F.current_timestamp()).select(*names, *BRONZE_METADATA)
+
+
+def bronze_sales(raw: DataFrame) -> DataFrame:
+    """Snake-case the CSV headers and stamp ingestion metadata."""
+    return _with_metadata(raw, strict=False)
 
 
 def clean_sales(bronze: DataFrame) -> DataFrame:
@@ -137,9 +150,9 @@ SHIPMENT_RAW_DATES = ["pq_first_sent_to_client_date", "po_sent_to_vendor_date",
                       "scheduled_delivery_date", "delivered_to_client_date", "delivery_recorded_date"]
 
 
-def bronze_shipments(raw: DataFrame, source_file: str = "shipments.csv") -> DataFrame:
-    df = normalize_columns(raw, strict=True)
-    return df.withColumns({"_ingested_at": F.current_timestamp(), "_source_file": F.lit(source_file)})
+def bronze_shipments(raw: DataFrame) -> DataFrame:
+    """Strictly normalised headers and ingestion metadata."""
+    return _with_metadata(raw, strict=True)
 
 
 def delivery_days(delivered: str = "delivered_to_client_date",

@@ -18,10 +18,13 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.operators import gold, silver
+from strata.operators import gold, marts, silver
+from strata.schemas import ORDER_EVENT_SCHEMA, SILVER_ORDERS_SCHEMA
 from strata.session import scratch_path
 from strata.sources import adapter
-from strata.sources.tables import Tables
+from strata.sources.sinks import register_external_table, write_csv
+from strata.sources.tables import Tables, load_safe, read_csv
+from strata.streaming.orders import run_orders_to_bronze
 
 _LOCK = threading.Lock()
 _INSTANCES: dict[tuple[str, str], "Lakehouse"] = {}
@@ -67,25 +70,41 @@ class Lakehouse:
         """
         return self._materialise("landing_lines", lambda: adapter.landing_lines(self.tables))
 
+    def _landed(self, name: str, write: Callable[[str], None]) -> str:
+        """A landing folder of raw files, written once."""
+        with self._lock:
+            if name not in self._built:
+                write(self.path(name))
+                self._built[name] = self.path(name)
+        return self._built[name]
+
+    def sales_csv(self) -> str:
+        return self._landed("landing_sales_csv", lambda path: write_csv(adapter.sales_wide(self.landing_lines()), path))
+
+    def shipments_csv(self) -> str:
+        return self._landed("landing_shipments_csv", lambda path: write_csv(adapter.shipments_raw(self.landing_lines()), path))
+
+    def order_events(self) -> str:
+        return self._landed("landing_orders", lambda path: adapter.order_event_lines(self.landing_lines()).write.text(path))
+
     def bronze_sales(self) -> DataFrame:
-        return silver.bronze_sales(adapter.sales_wide(self.landing_lines()))
+        """The sales CSV with inferred types, normalised names, real file names."""
+        return self._materialise("bronze_sales", lambda: silver.bronze_sales(read_csv(self.spark, self.sales_csv())))
 
     def bronze_orders(self) -> DataFrame:
-        """Parsed order events, landed as a table (what the stream's sink holds).
+        """What the order stream has appended to its sink."""
+        def drain(path: str) -> None:
+            run_orders_to_bronze(self.spark, self.order_events(), path, self.path("bronze_orders_checkpoint"))
 
-        Landing the parsed rows before Silver also keeps the JSON parse to one
-        evaluation per event: filters on payload fields would otherwise each
-        re-run ``from_json``.
-        """
-        from strata.streaming.orders import parse_order_events
-        return self._materialise("bronze_orders",
-                                 lambda: parse_order_events(adapter.order_event_lines(self.landing_lines())))
+        return self.spark.read.schema(ORDER_EVENT_SCHEMA).parquet(self._landed("bronze_orders", drain))
 
     def bronze_orders_legacy(self) -> DataFrame:
         return adapter.legacy_order_events(self.landing_lines())
 
     def bronze_shipments(self) -> DataFrame:
-        return silver.bronze_shipments(adapter.shipments_raw(self.landing_lines()))
+        """The all-string shipments CSV, blank cells read as NULL."""
+        return self._materialise("bronze_shipments", lambda: silver.bronze_shipments(
+            read_csv(self.spark, self.shipments_csv(), infer_schema=False)))
 
     # ------------------------------------------------------------ silver
     def silver_sales(self) -> DataFrame:
@@ -99,8 +118,13 @@ class Lakehouse:
                                  lambda: silver.silver_shipments(self.bronze_shipments()))
 
     # ------------------------------------------------------------ gold
+    def orders_or_none(self) -> DataFrame:
+        """Silver orders, or an empty frame where no order has ever arrived."""
+        self.silver_orders()
+        return load_safe(self.spark, self.path("silver_orders"), SILVER_ORDERS_SCHEMA)
+
     def dim_time(self) -> DataFrame:
-        return self._materialise("dim_time", lambda: gold.dim_time(self.silver_sales(), self.silver_orders()))
+        return self._materialise("dim_time", lambda: gold.dim_time(self.silver_sales(), self.orders_or_none()))
 
     def dim_product(self) -> DataFrame:
         return self._materialise("dim_product", lambda: gold.dim_product(self.silver_sales()))
@@ -118,7 +142,7 @@ class Lakehouse:
 
     def fact_orders(self) -> DataFrame:
         return self._materialise("fact_orders", lambda: gold.fact_orders(
-            self.silver_orders(), self.dim_product(), self.dim_customer()))
+            self.orders_or_none(), self.dim_product(), self.dim_customer()))
 
     def register_views(self, names: list[str] | None = None) -> list[str]:
         """Expose the Silver/Gold tables as temp views for ``spark.sql`` (builds them if needed).
@@ -134,6 +158,50 @@ class Lakehouse:
     VIEW_TABLES = ("silver_sales", "silver_orders", "silver_shipments", "dim_time", "dim_product",
                    "dim_customer", "dim_sales_rep", "fact_sales", "fact_orders")
 
+    #: the tables that analysts query by name
+    NAMED_TABLES = ("dim_time", "dim_product", "dim_customer", "dim_sales_rep", "fact_sales", "fact_orders",
+                    "silver_sales", "silver_orders", "ml_customer_clusters", "ml_demand_forecast")
+
+    def register_tables(self, prefix: str = "") -> list[str]:
+        """External tables over the written Gold, Silver and model tables (metadata only).
+
+        A name always points to this lakehouse: an older table of the name is dropped first.
+        """
+        for name in self.NAMED_TABLES:
+            getattr(self, name)()
+            self.spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
+            register_external_table(self.spark, prefix + name, self.path(name))
+        return [prefix + name for name in self.NAMED_TABLES]
+
+    # ------------------------------------------------------------ marts
+    def mart(self, name: str) -> DataFrame:
+        """A mart as a written table.  The marts of model outputs have two forms: over the models
+        (``mart_cluster_analysis_kmeans``, ``mart_forecast_analysis_gbt``) and over the
+        deterministic stand-ins that SQL can check."""
+        builders = {
+            "mart_product_performance": lambda: marts.product_performance(self.fact_sales(), self.dim_product()),
+            "mart_sales_rep_performance": lambda: marts.sales_rep_performance(self.fact_sales(), self.dim_sales_rep()),
+            "mart_geographic_analysis": lambda: marts.geographic_analysis(self.fact_sales(), self.dim_customer()),
+            "mart_cluster_analysis": lambda: marts.cluster_analysis(self.banded_clusters()),
+            "mart_forecast_analysis": lambda: marts.forecast_analysis(self.naive_forecast()),
+            "mart_cluster_analysis_kmeans": lambda: marts.cluster_analysis(self.ml_customer_clusters()),
+            "mart_forecast_analysis_gbt": lambda: marts.forecast_analysis(self.ml_demand_forecast()),
+        }
+        return self._materialise(name, builders[name])
+
+    def banded_clusters(self) -> DataFrame:
+        from strata.operators import ml
+
+        def build() -> DataFrame:
+            preds = ml.banded_assign(ml.customer_features(self.silver_sales()))
+            return ml.label_customers(preds, ml.cluster_labels(ml.cluster_stats(preds))).drop("created_at")
+
+        return self._materialise("banded_clusters", build)
+
+    def naive_forecast(self) -> DataFrame:
+        from strata.operators import ml
+        return self._materialise("naive_forecast", lambda: ml.naive_demand_forecast(self.silver_sales()).drop("created_at"))
+
     def build_gold(self) -> None:
         for step in (self.dim_time, self.dim_product, self.dim_customer, self.dim_sales_rep,
                      self.fact_sales, self.fact_orders):

@@ -234,7 +234,7 @@ _SHIP_FIELDS = [
      f"CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'Date Not Captured' "
      f"ELSE {dmy('CAST(o_orderdate AS DATE)')} END"),
     ("delivered_to_client_date",
-     f"CASE WHEN l_discount = 0 THEN 'Insufficient data (see ASN)' WHEN l_tax = 0 THEN '' "
+     f"CASE WHEN l_discount = 0 THEN 'Insufficient data (see ASN)' WHEN l_tax = 0 THEN NULL "
      f"ELSE {dmy('CAST(l_shipdate AS DATE)')} END"),
     ("delivery_recorded_date", dmy("CAST(l_shipdate AS DATE) + 2")),
     ("product_group", "lower(p_type)"),

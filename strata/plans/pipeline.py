@@ -1,7 +1,8 @@
 """The whole pipeline in the reference's step order, as one function.
 
-Bronze -> Silver -> Gold -> ML -> marts -> declarative checks: the content of
-the reference's DAG, not its scheduler.  Silver, Gold and the model outputs are
+Ingestion and stream -> Bronze -> Silver -> Gold -> ML -> marts -> views, named
+tables, exports -> declarative checks: the content of the reference's DAG, not
+its scheduler.  Silver, Gold and the model outputs are
 written by the Lakehouse (once per application and input folder); the marts and
 the check results are written to ``out_dir`` (a fresh folder below the shared
 checkpoint folder by default), and the checks read the written marts, the way
@@ -19,19 +20,20 @@ from pyspark.sql import functions as F
 from strata.operators import marts, quality
 from strata.plans.lakehouse import Lakehouse
 from strata.session import scratch_path
-from strata.sources.sinks import write_overwrite
+from strata.sources.sinks import export_csv, register_views, write_overwrite
 
 
 def build_marts(lh: Lakehouse, with_models: bool = True) -> dict[str, DataFrame]:
-    out = {
-        "mart_product_performance": marts.product_performance(lh.fact_sales(), lh.dim_product()),
-        "mart_sales_rep_performance": marts.sales_rep_performance(lh.fact_sales(), lh.dim_sales_rep()),
-        "mart_geographic_analysis": marts.geographic_analysis(lh.fact_sales(), lh.dim_customer()),
-    }
+    """The written marts by their published names; those of the models only with them."""
+    named = {n: n for n in ("mart_product_performance", "mart_sales_rep_performance", "mart_geographic_analysis")}
     if with_models:
-        out["mart_cluster_analysis"] = marts.cluster_analysis(lh.ml_customer_clusters())
-        out["mart_forecast_analysis"] = marts.forecast_analysis(lh.ml_demand_forecast())
-    return out
+        named |= {"mart_cluster_analysis": "mart_cluster_analysis_kmeans", "mart_forecast_analysis": "mart_forecast_analysis_gbt"}
+    return {name: lh.mart(table) for name, table in named.items()}
+
+
+#: Gold tables and marts that are exported as CSV
+EXPORTS = ("dim_product", "dim_time", "dim_sales_rep", "mart_product_performance", "mart_sales_rep_performance",
+           "mart_cluster_analysis", "mart_forecast_analysis")
 
 
 def check_suite(lh: Lakehouse, mart_tables: dict[str, DataFrame]) -> DataFrame:
@@ -58,7 +60,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                  with_models: bool = True) -> dict[str, str]:
     """Run every step in order; return the folder of each written mart and of the check results."""
     lh = Lakehouse.get(spark, sf_dir)
-    for step in (lh.silver_sales, lh.silver_orders, lh.silver_shipments):
+    for step in (lh.bronze_sales, lh.bronze_shipments, lh.bronze_orders,  # CSV ingestion and the stream's sink
+                 lh.silver_sales, lh.silver_orders, lh.silver_shipments):
         step()
     lh.build_gold()
     if with_models:
@@ -70,6 +73,14 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
         paths[name] = os.path.join(out, name)
         write_overwrite(df, paths[name])
     written = {name: spark.read.parquet(p) for name, p in paths.items()}
+    lh.register_views()
+    register_views({**written, "stg_sales": marts.staging_sales(lh.silver_sales())})
+    if with_models:
+        lh.register_tables("lake_")
+    gold_tables = {name: getattr(lh, name)() for name in ("dim_product", "dim_time", "dim_sales_rep")}
+    for name in EXPORTS:
+        if name in gold_tables or name in written:
+            export_csv(gold_tables.get(name, written.get(name)), os.path.join(out, "export", name))
     paths["dq_results"] = os.path.join(out, "dq_results")
     write_overwrite(check_suite(lh, written), paths["dq_results"])
     return paths

@@ -308,6 +308,15 @@ def table_volumes(spark, sf):
         "ml_customer_clusters": h.ml_customer_clusters(), "ml_demand_forecast": h.ml_demand_forecast()})
 
 
+_GOLD = ("dim_time", "dim_product", "dim_customer", "dim_sales_rep", "fact_sales", "fact_orders")
+
+
+@q("gold_row_counts", " UNION ALL ".join(f"SELECT '{t}' AS tabla, COUNT(*) AS registros FROM {t}" for t in _GOLD))
+def gold_row_counts(spark, sf):
+    h = lh(spark, sf)
+    return kpis.table_volumes({t: getattr(h, t)() for t in _GOLD})
+
+
 @q("star_join_all_dims", """
 SELECT t.year, t.month, c.customer_name, c.country, p.product_name, p.product_class,
        r.sales_rep_name, r.sales_team, f.qty, f.sales
@@ -338,34 +347,30 @@ def fact_sales_keys(spark, sf):
 
 @q("mart_product_performance", "SELECT * FROM mart_product")
 def mart_product_performance(spark, sf):
-    h = lh(spark, sf)
-    return marts.product_performance(h.fact_sales(), h.dim_product())
+    return lh(spark, sf).mart("mart_product_performance")
 
 
 @q("mart_sales_rep_performance", "SELECT * FROM mart_rep")
 def mart_sales_rep_performance(spark, sf):
-    h = lh(spark, sf)
-    return marts.sales_rep_performance(h.fact_sales(), h.dim_sales_rep())
+    return lh(spark, sf).mart("mart_sales_rep_performance")
 
 
 @q("mart_geographic_analysis", "SELECT * FROM mart_geo")
 def mart_geographic_analysis(spark, sf):
-    h = lh(spark, sf)
-    return marts.geographic_analysis(h.fact_sales(), h.dim_customer())
+    return lh(spark, sf).mart("mart_geographic_analysis")
 
 
 def _banded_clusters(spark, sf) -> DataFrame:
-    preds = ml.banded_assign(ml.customer_features(lh(spark, sf).silver_sales()))
-    return ml.label_customers(preds, ml.cluster_labels(ml.cluster_stats(preds))).drop("created_at")
+    return lh(spark, sf).banded_clusters()
 
 
 def _naive(spark, sf) -> DataFrame:
-    return ml.naive_demand_forecast(lh(spark, sf).silver_sales()).drop("created_at")
+    return lh(spark, sf).naive_forecast()
 
 
 @q("mart_cluster_analysis", "SELECT * FROM mart_cluster")
 def mart_cluster_analysis(spark, sf):
-    return marts.cluster_analysis(_banded_clusters(spark, sf))
+    return lh(spark, sf).mart("mart_cluster_analysis")
 
 
 def _round_model_cols(df: DataFrame) -> DataFrame:
@@ -374,7 +379,7 @@ def _round_model_cols(df: DataFrame) -> DataFrame:
 
 @q("mart_forecast_analysis", "SELECT * FROM mart_forecast")
 def mart_forecast_analysis(spark, sf):
-    return _round_model_cols(marts.forecast_analysis(_naive(spark, sf)))
+    return _round_model_cols(lh(spark, sf).mart("mart_forecast_analysis"))
 
 
 # The same marts over the real model outputs (K-Means segments, GBT predictions): what
@@ -382,12 +387,12 @@ def mart_forecast_analysis(spark, sf):
 # check their invariants.
 @q("mart_cluster_analysis_kmeans")
 def mart_cluster_analysis_kmeans(spark, sf):
-    return marts.cluster_analysis(lh(spark, sf).ml_customer_clusters())
+    return lh(spark, sf).mart("mart_cluster_analysis_kmeans")
 
 
 @q("mart_forecast_analysis_gbt")
 def mart_forecast_analysis_gbt(spark, sf):
-    return marts.forecast_analysis(lh(spark, sf).ml_demand_forecast())
+    return lh(spark, sf).mart("mart_forecast_analysis_gbt")
 
 
 @q("forecast_accuracy_by_country", f"""
@@ -620,6 +625,19 @@ def _bronze_shipments(spark, sf) -> DataFrame:
     return lh(spark, sf).bronze_shipments().drop(*S.BRONZE_METADATA)
 
 
+@q("bronze_sales", "SELECT *, TRUE AS named, TRUE AS stamped FROM bronze_sales")
+def bronze_sales(spark, sf):
+    """The Bronze table: each row names the CSV file it came from and when it was read."""
+    return lh(spark, sf).bronze_sales().withColumn("named", F.col("_source_file").endswith(".csv")).withColumn(
+        "stamped", F.col("_ingested_at").isNotNull()).drop(*S.BRONZE_METADATA)
+
+
+@q("bronze_shipments", "SELECT " + ", ".join(f"NULLIF({c}, '') AS {c}" for c in O.SHIPMENT_RAW_COLS) + ", TRUE AS named, TRUE AS stamped FROM bronze_shipments")
+def bronze_shipments(spark, sf):
+    return lh(spark, sf).bronze_shipments().withColumn("named", F.col("_source_file").endswith(".csv")).withColumn(
+        "stamped", F.col("_ingested_at").isNotNull()).drop(*S.BRONZE_METADATA)
+
+
 @q("proj_normalize_names", "SELECT * FROM bronze_sales")
 def proj_normalize_names(spark, sf):
     return _bronze_sales(spark, sf)
@@ -804,7 +822,8 @@ _MART_CTE = {"mart_sales_rep_performance": "mart_rep", "mart_geographic_analysis
 
 
 def _mart_frames(spark, sf) -> dict[str, DataFrame]:
-    return {n: QUERIES[n](spark, sf) for n in _MART_CTE}
+    """The written marts: a check scans them, nothing is built again."""
+    return {n: lh(spark, sf).mart(n) for n in _MART_CTE}
 
 
 @q("dq_not_null", " UNION ALL ".join(
@@ -994,36 +1013,23 @@ def parse_order_events(spark, sf):
 
 @q("stream_orders_bronze", "SELECT * FROM bronze_orders")
 def stream_orders_bronze(spark, sf):
-    """Land the event payloads as text files, drain them with an availableNow stream into a
-    checkpointed parquet sink, and read the sink back."""
-    base = scratch_path(spark, "orders-stream")
-    adapter.order_event_lines(lh(spark, sf).landing_lines()).write.mode("overwrite").text(f"{base}/landing")
-    stream.run_orders_to_bronze(spark, f"{base}/landing", f"{base}/bronze", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/bronze")
+    """Event payloads landed as text files, drained by an availableNow stream into the
+    checkpointed parquet sink that feeds Silver."""
+    return lh(spark, sf).bronze_orders()
 
 
 # ====================================================================== sources and sinks (S1-S12)
 
-def _csv_roundtrip(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("header", "true")
-     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-     .csv(path))
-
-
 @q("src_csv_inferred", "SELECT " + ", ".join(
     f'{c} AS "{h}"' for c, h in zip(S.SALES_COLUMNS, adapter.SALES_HEADERS)) + " FROM bronze_sales")
 def src_csv_inferred(spark, sf):
-    path = scratch_path(spark, "sales-csv")
-    _csv_roundtrip(adapter.sales_wide(lh(spark, sf).landing_lines()), path)
-    return read_csv(spark, path, infer_schema=True)
+    return read_csv(spark, lh(spark, sf).sales_csv(), infer_schema=True)
 
 
 @q("src_csv_strings", "SELECT " + ", ".join(f"NULLIF({c}, '') AS {c}" for c in O.SHIPMENT_RAW_COLS)
    + " FROM bronze_shipments")
 def src_csv_strings(spark, sf):
-    path = scratch_path(spark, "shipments-csv")
-    _csv_roundtrip(adapter.shipments_raw(lh(spark, sf).landing_lines()), path)
-    return T.normalize_columns(read_csv(spark, path, infer_schema=False), strict=True)
+    return T.normalize_columns(read_csv(spark, lh(spark, sf).shipments_csv(), infer_schema=False), strict=True)
 
 
 @q("src_safe_load", "SELECT * FROM silver_orders")
@@ -1048,11 +1054,8 @@ def sink_overwrite_roundtrip(spark, sf):
 
 @q("ddl_external_table", "SELECT * FROM dim_sales_rep")
 def ddl_external_table(spark, sf):
-    from strata.sources.sinks import register_external_table
-    path = scratch_path(spark, "external")
-    lh(spark, sf).dim_sales_rep().write.mode("overwrite").parquet(path)
-    name = register_external_table(spark, "gold_dim_sales_rep_" + path.rsplit("-", 1)[-1], path)
-    return spark.table(name)
+    names = lh(spark, sf).register_tables("lake_")
+    return spark.table(names[names.index("lake_dim_sales_rep")])
 
 
 @q("sink_csv_export", "SELECT * FROM dim_time")

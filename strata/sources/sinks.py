@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -17,6 +18,16 @@ def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet",
 
 
 def write_keep_schema(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Full overwrite that refuses to change the stored column names and types."""
+    try:
+        stored = df.sparkSession.read.format(fmt).load(path).schema
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        kinds = [[(f.name, f.dataType) for f in schema] for schema in (stored, df.schema)]
+        if kinds[0] != kinds[1]:
+            raise ValueError(f"{path} holds {stored.simpleString()}, not {df.schema.simpleString()}")
     df.write.format(fmt).mode("overwrite").save(path)
 
 
@@ -37,3 +48,9 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 def export_csv(df: DataFrame, path: str) -> None:
     """Header CSV export (one folder of part files; no coalesce to a single task)."""
     df.write.mode("overwrite").option("header", "true").csv(path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Header CSV as a feed delivers it: blanks around values are kept."""
+    (df.write.mode("overwrite").option("header", "true")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))

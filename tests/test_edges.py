@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from strata.functions.numeric import money_avg, money_sum, round_half_up
 from strata.operators import gold, kpis, marts, ml, quality
+from strata.schemas import FACT_ORDERS_SCHEMA
 from strata.session import scratch_path
 from strata.sources import adapter
+from strata.sources.sinks import write_keep_schema
 from strata.sources.tables import load_safe
 
 
@@ -83,3 +85,34 @@ def test_segments_do_not_depend_on_the_cores(sf_dir):
     """)
     out = [subprocess.run([sys.executable, "-c", script, cores, sf_dir], capture_output=True, text=True, timeout=300, check=True).stdout.partition("SEGMENTS")[2] for cores in ("2", "4")]
     assert out[0] and out[0] == out[1]
+
+
+def test_gold_with_an_order_feed_that_never_came(spark, sf_dir, tmp_path):
+    from strata.plans.lakehouse import Lakehouse
+    lh = Lakehouse(spark, sf_dir)
+    lh._landed("landing_orders", lambda path: spark.createDataFrame([], "value string").write.text(path))
+    assert lh.fact_orders().count() == 0 and set(lh.fact_orders().columns) == {f.name for f in FACT_ORDERS_SCHEMA}
+    assert lh.dim_time().count() > 0 and lh.fact_sales().count() > 0
+
+
+def test_bronze_rows_name_their_files(spark, sf_dir):
+    from strata.plans.lakehouse import Lakehouse
+    lh = Lakehouse.get(spark, sf_dir)
+    names = {r[0] for r in lh.bronze_sales().select("_source_file").distinct().collect()}
+    assert names and all(n.startswith("part-") and n.endswith(".csv") for n in names)
+
+
+def test_write_keep_schema_refuses_another_schema(spark):
+    path = scratch_path(spark, "keep")
+    write_keep_schema(spark.range(3), path)
+    write_keep_schema(spark.range(5), path)
+    with pytest.raises(ValueError):
+        write_keep_schema(spark.range(5).withColumn("x", F.lit(1)), path)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_checks_scan_the_written_marts(spark, sf_dir):
+    from strata.plans.registry import QUERIES
+    for name in ("dq_not_null", "dq_unique", "dq_accepted_values"):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Window" not in plan, name
