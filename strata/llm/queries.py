@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from strata.llm import bpe, html_extract, mixing, near_dedup, ngram_quality, quality_rules, secrets, suffix_dedup, token_counts, topk_search
 from strata.llm.common import read_table
+from strata.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -35,7 +37,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.score_rules(read_table(spark, sf_dir, "documents"))
+    scored = quality_rules.score_rules(read_table(spark, sf_dir, "documents"))
+    return scored.withColumns({c: F.round(c, 6) for c in ("char_distance", "word_distance")})
 
 
 @query
