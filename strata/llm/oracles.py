@@ -107,3 +107,44 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT COALESCE(chars >= 200 AND char_distance > 0.18 + 2.0 / sqrt(greatest(chars, 1)), FALSE)
                        AND NOT COALESCE(n_words >= 50 AND word_distance > 0.25 + 1.2 / sqrt(greatest(n_words, 1)), FALSE) AS kept, char_distance, word_distance
 FROM measured"""
+
+#: letters of the keywords in either case
+_KEYWORDS = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+_ASSIGN = rf"""({_KEYWORDS})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_ALLOWED = [r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$", "(?i)example|sample|dummy|placeholder|changeme|your[-_]|xxxx|0123456789|abcdefgh",
+            "^(sha(256|384|512)-)", "^/?([A-Za-z0-9_-]{1,15}/){3,}"]
+#: a unit of 1 to 4 characters five times or more, and up to 3 characters
+_REPEATED = ("len(list_filter(range(0, 16), lambda j: (len(hit) - j // 4) % (j % 4 + 1) = 0 AND (len(hit) - j // 4) // (j % 4 + 1) >= 5 "
+             "AND left(hit, len(hit) - j // 4) = repeat(left(hit, j % 4 + 1), CAST((len(hit) - j // 4) // (j % 4 + 1) AS BIGINT)))) > 0")
+
+
+def _found(kind: str, order: int, pattern: str, condition: str) -> str:
+    """Matches of a pattern with their places: the pieces and the matches before each, added up."""
+    return rf"""
+  SELECT doc_id, '{kind}' AS kind, {order} AS ord, CAST(list_sum(list_transform(pieces[1:k], lambda x: len(x))) + COALESCE(list_sum(list_transform(hits[1:k - 1], lambda x: len(x))), 0) AS BIGINT) AS start, hit
+  FROM (SELECT doc_id, pieces, hits, unnest(hits) AS hit, generate_subscripts(hits, 1) AS k
+        FROM (SELECT doc_id, regexp_split_to_array(text, '{pattern}') AS pieces, regexp_extract_all(text, '{pattern}') AS hits FROM docs))
+  WHERE {condition}"""
+
+
+def _random(window: int, bits: float, text: str) -> str:
+    allowed = " OR ".join(f"regexp_matches(hit, '{p}')" for p in _ALLOWED)
+    entropy = f"list_aggregate(string_split(substr({text}, CAST(i AS BIGINT), {window}), ''), 'entropy')"
+    return f"NOT ({allowed} OR {_REPEATED}) AND list_max(list_transform(range(1, len(hit) - {window} + 2), lambda i: {entropy})) >= {bits}"
+
+
+_SPANS = " UNION ALL ".join([
+    _found("assign", 0, _ASSIGN, f"len(regexp_extract(hit, '{_ASSIGN}', 2)) >= 6"),
+    _found("access", 1, "AKIA[A-Z0-9]+", "len(hit) >= 20"),
+    _found("hex", 2, "[0-9a-f]+", "len(hit) >= 24"),
+    _found("entropy_hex", 3, "[0-9A-Za-z]+", "regexp_full_match(hit, '[0-9A-Fa-f]{20,}') AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Fa-f]') AND " + _random(20, 3.0, "lower(hit)")),
+    _found("entropy_base64", 4, "[A-Za-z0-9+/_-]{24,}={0,2}", "regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]') AND " + _random(24, 4.0, "hit")),
+])
+
+ORACLES["op3_secret_scans"] = rf"""
+WITH docs AS (SELECT doc_id, COALESCE(text, '') AS text FROM documents),
+found AS ({_SPANS}),
+named AS (SELECT *, kind || ':' || CAST(start AS VARCHAR) || ':' || CAST(start + len(hit) AS VARCHAR) AS span FROM found)
+SELECT d.doc_id, COUNT(*) FILTER (WHERE kind = 'assign') AS n_assign, COUNT(*) FILTER (WHERE kind = 'access') AS n_access, COUNT(*) FILTER (WHERE kind = 'hex') AS n_hex,
+       sha256(COALESCE(string_agg(span, ',' ORDER BY start, ord) FILTER (WHERE ord < 3), '')) AS base_sha256, COALESCE(string_agg(span, ',' ORDER BY start, ord), '') AS spans
+FROM docs d LEFT JOIN named USING (doc_id) GROUP BY d.doc_id"""
