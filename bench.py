@@ -21,7 +21,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 # row-level outputs are drained through the noop sink instead of collected
 ROW_LEVEL = {"star_join_all_dims", "fact_sales", "silver_sales", "surrogate_key", "monthly_demand",
-             "forecast_features", "stream_orders_bronze"}
+             "forecast_features", "stream_orders_bronze", "ml_customer_clusters", "ml_demand_forecast",
+             "mart_product_performance", "mart_sales_rep_performance", "mart_geographic_analysis", "mart_forecast_analysis"}
 
 HEADLINE = [
     "kpi_sales_by_channel", "kpi_sales_by_country", "kpi_top_products", "kpi_sales_by_class",

@@ -43,6 +43,14 @@ def customer_features(silver_sales: DataFrame) -> DataFrame:
         .where(F.col("total_sales").isNotNull() & (F.col("total_sales") > 0)))
 
 
+def five_numbers(df: DataFrame, cols: list[str], quartiles: dict[str, float], accuracy: int = 1_000_000) -> DataFrame:
+    """``summary`` (min, the quartiles, max) and each column's value, from one aggregate."""
+    names = ["min", *quartiles, "max"]
+    one = df.agg(*[F.array(F.min(c), *[F.percentile_approx(c, q, accuracy) for q in quartiles.values()], F.max(c)).cast("array<double>").alias(c)
+                   for c in cols])
+    return one.select(F.explode(F.arrays_zip(F.array(*map(F.lit, names)).alias("summary"), *cols)).alias("_row")).select("_row.*")
+
+
 def scale_features(features: DataFrame, cols: list[str] = CLUSTER_FEATURES) -> DataFrame:
     """Assemble ``cols`` and standardise them (mean 0, sample std 1) into ``features``."""
     from pyspark.ml.feature import StandardScaler, VectorAssembler

@@ -7,7 +7,7 @@ written tables cut lineage (executor loss re-reads files instead of
 re-running the whole join tree) and let every KPI / mart / model reuse the
 same Gold without recomputing dimensions, exactly like the reference's
 write-then-read layering.  Tables are built on first use and memoised per
-application and input folder.
+application and state of the input files.
 """
 
 from __future__ import annotations
@@ -23,14 +23,26 @@ from strata.schemas import ORDER_EVENT_SCHEMA, SILVER_ORDERS_SCHEMA
 from strata.session import scratch_path
 from strata.sources import adapter
 from strata.sources.sinks import register_external_table, write_csv
-from strata.sources.tables import Tables, load_safe, read_csv
+from strata.sources.tables import TABLES, Tables, load_safe, read_csv
 from strata.streaming.orders import run_orders_to_bronze
 
 _LOCK = threading.Lock()
 _INSTANCES: dict[tuple[str, str], "Lakehouse"] = {}
 
 
+def source_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """The source tables' files with their lengths and times: tables built from other files are not served."""
+    found = []
+    for name in TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        found += [(name, f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files]
+    return tuple(sorted(found))
+
+
 class Lakehouse:
+    state: tuple = ()
+
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
@@ -41,11 +53,13 @@ class Lakehouse:
 
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str) -> "Lakehouse":
-        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        key = (spark.sparkContext.applicationId, sf_dir)
         with _LOCK:
             lh = _INSTANCES.get(key)
-            if lh is None or lh.spark is not spark:
+            state = source_state(spark, sf_dir)
+            if lh is None or lh.spark is not spark or lh.state != state:
                 lh = cls(spark, sf_dir)
+                lh.state = state
                 _INSTANCES[key] = lh
             return lh
 

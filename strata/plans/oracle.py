@@ -2,15 +2,86 @@
 
 The whole medallion build (adapter -> Silver -> Gold) is restated as one
 shared CTE prefix over the raw tables; each query appends its final SELECT.
-Only the CTEs a query references are evaluated by DuckDB.  Constants (column
-lists, text styles, fixed labels) are imported from the Spark modules so both
-sides agree on WHAT is computed; the HOW is written independently here.
+Only the CTEs a query references are evaluated by DuckDB.  Nothing is imported
+from the Spark modules: column lists, text styles, keys and required columns are
+stated again below.
 """
 
 from __future__ import annotations
 
-from strata.functions.dates import MONTH_NAMES
-from strata.operators import silver as S
+# Fixed values, stated here a second time on purpose: the Spark modules have their own, so that a slip in either shows.
+MONTHS = ['January', 'February', 'March', 'April', 'May', 'June', 'July', 'August', 'September', 'October', 'November',
+ 'December']
+LEGACY_REQUIRED = ['event_id', 'order_id', 'event_ts', 'qty', 'unit_price']
+LEGACY_TEXT_STYLES = {'event_id': 'none',
+ 'order_id': 'none',
+ 'site_id': 'none',
+ 'product_id': 'none',
+ 'channel': 'lower',
+ 'country': 'upper',
+ 'currency': 'upper'}
+ORDER_REQUIRED = ['event_id', 'order_id', 'event_ts', 'customer_name', 'product_name', 'qty', 'unit_price']
+ORDER_TEXT_STYLES = {'event_id': 'none',
+ 'order_id': 'none',
+ 'customer_name': 'initcap',
+ 'city': 'initcap',
+ 'country': 'upper',
+ 'channel': 'lower',
+ 'sub_channel': 'lower',
+ 'product_name': 'initcap',
+ 'product_class': 'initcap',
+ 'currency': 'upper'}
+SALES_COLUMNS = ['distributor', 'customer_name', 'city', 'country', 'latitude', 'longitude', 'channel', 'sub_channel',
+ 'product_name', 'product_class', 'quantity', 'price', 'sales', 'month', 'year', 'name_of_sales_rep',
+ 'manager', 'sales_team']
+SALES_NATURAL_KEY = ['distributor', 'customer_name', 'product_name', 'city', 'country', 'month', 'year']
+SALES_REQUIRED = ['distributor', 'customer_name', 'product_name', 'quantity', 'price', 'country']
+SALES_TEXT_STYLES = {'distributor': 'initcap',
+ 'customer_name': 'initcap',
+ 'city': 'initcap',
+ 'product_name': 'initcap',
+ 'name_of_sales_rep': 'initcap',
+ 'manager': 'initcap',
+ 'sales_team': 'initcap',
+ 'country': 'upper',
+ 'channel': 'lower',
+ 'sub_channel': 'lower',
+ 'product_class': 'initcap'}
+SHIPMENT_DATES = ['scheduled_delivery_date', 'delivered_to_client_date', 'delivery_recorded_date']
+SHIPMENT_DOUBLES = ['line_item_value', 'pack_price', 'unit_price', 'weight_kilograms', 'freight_cost_usd',
+ 'line_item_insurance_usd']
+SHIPMENT_SELECTION = {'id': 'shipment_id',
+ 'project_code': 'project_code',
+ 'country': 'country',
+ 'managed_by': 'managed_by',
+ 'fulfill_via': 'fulfill_via',
+ 'vendor_inco_term': 'vendor_inco_term',
+ 'shipment_mode': 'shipment_mode',
+ 'scheduled_delivery_date': 'scheduled_delivery_date',
+ 'delivered_to_client_date': 'delivered_to_client_date',
+ 'delivery_recorded_date': 'delivery_recorded_date',
+ 'product_group': 'product_group',
+ 'sub_classification': 'sub_classification',
+ 'vendor': 'vendor',
+ 'item_description': 'item_description',
+ 'molecule_test_type': 'molecule_test_type',
+ 'brand': 'brand',
+ 'dosage': 'dosage',
+ 'dosage_form': 'dosage_form',
+ 'line_item_quantity': 'line_item_quantity',
+ 'line_item_value': 'line_item_value',
+ 'pack_price': 'pack_price',
+ 'unit_price': 'unit_price',
+ 'manufacturing_site': 'manufacturing_site',
+ 'weight_kilograms': 'weight_kilograms',
+ 'freight_cost_usd': 'freight_cost_usd',
+ 'line_item_insurance_usd': 'line_item_insurance_usd'}
+SHIPMENT_TEXT_STYLES = {'country': 'upper',
+ 'vendor': 'initcap',
+ 'product_group': 'initcap',
+ 'shipment_mode': 'lower',
+ 'brand': 'initcap',
+ 'fulfill_via': 'lower'}
 
 # ---------------------------------------------------------------- SQL fragments
 
@@ -50,7 +121,7 @@ def to_int(x: str) -> str:
 
 
 def month_num(x: str) -> str:
-    whens = " ".join(f"WHEN '{m}' THEN {i + 1}" for i, m in enumerate(MONTH_NAMES))
+    whens = " ".join(f"WHEN '{m}' THEN {i + 1}" for i, m in enumerate(MONTHS))
     return f"(CASE {x} {whens} END)"
 
 
@@ -122,9 +193,9 @@ CTES["bronze_sales"] = (_sales_proj("l_extendedprice") + "\nUNION ALL" +
                                     "WHERE l_returnflag = 'R'"))
 
 _sales_clean_cols = []
-for _c in S.SALES_COLUMNS:
-    if _c in S.SALES_TEXT_STYLES:
-        _sales_clean_cols.append(f"{clean(_c, S.SALES_TEXT_STYLES[_c])} AS {_c}")
+for _c in SALES_COLUMNS:
+    if _c in SALES_TEXT_STYLES:
+        _sales_clean_cols.append(f"{clean(_c, SALES_TEXT_STYLES[_c])} AS {_c}")
     elif _c in ("quantity", "year"):
         _sales_clean_cols.append(f"{to_int(_c)} AS {_c}")
     elif _c in ("price", "sales", "latitude", "longitude"):
@@ -134,13 +205,13 @@ for _c in S.SALES_COLUMNS:
 CTES["typed_sales"] = "SELECT " + ", ".join(_sales_clean_cols) + " FROM bronze_sales"
 
 CTES["valid_sales"] = ("SELECT * FROM typed_sales WHERE " +
-                       " AND ".join(f"{c} IS NOT NULL" for c in S.SALES_REQUIRED) +
+                       " AND ".join(f"{c} IS NOT NULL" for c in SALES_REQUIRED) +
                        " AND quantity > 0 AND price >= 0 AND sales >= 0")
 
-_sales_rest = [c for c in S.SALES_COLUMNS if c not in S.SALES_NATURAL_KEY and c != "sales"]
+_sales_rest = [c for c in SALES_COLUMNS if c not in SALES_NATURAL_KEY and c != "sales"]
 CTES["silver_sales"] = f"""
-SELECT {", ".join(S.SALES_COLUMNS)} FROM (
-  SELECT *, row_number() OVER (PARTITION BY {", ".join(S.SALES_NATURAL_KEY)}
+SELECT {", ".join(SALES_COLUMNS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY {", ".join(SALES_NATURAL_KEY)}
                                ORDER BY {order_by_all(["sales DESC NULLS LAST"], _sales_rest)}) AS rn
   FROM valid_sales) WHERE rn = 1"""
 
@@ -180,9 +251,9 @@ def _clean_orders(src: str, styles: dict[str, str], cols: list[str]) -> str:
     return f"SELECT {', '.join(out)} FROM {src}"
 
 
-CTES["clean_orders"] = _clean_orders("bronze_orders", S.ORDER_TEXT_STYLES, _ORDER_COLS)
+CTES["clean_orders"] = _clean_orders("bronze_orders", ORDER_TEXT_STYLES, _ORDER_COLS)
 CTES["valid_orders"] = ("SELECT * FROM clean_orders WHERE " +
-                        " AND ".join(f"{c} IS NOT NULL" for c in S.ORDER_REQUIRED) +
+                        " AND ".join(f"{c} IS NOT NULL" for c in ORDER_REQUIRED) +
                         " AND qty > 0 AND unit_price >= 0")
 _order_rest = [c for c in _ORDER_COLS if c not in ("event_id", "event_ts")]
 CTES["dedup_orders"] = f"""
@@ -207,14 +278,14 @@ _LEGACY_FIELDS = [
 ]
 _LEGACY_COLS = [n for n, _ in _LEGACY_FIELDS]
 CTES["bronze_orders_legacy"] = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in _LEGACY_FIELDS) + " FROM lines"
-CTES["clean_orders_legacy"] = _clean_orders("bronze_orders_legacy", S.LEGACY_TEXT_STYLES, _LEGACY_COLS)
+CTES["clean_orders_legacy"] = _clean_orders("bronze_orders_legacy", LEGACY_TEXT_STYLES, _LEGACY_COLS)
 _legacy_rest = [c for c in _LEGACY_COLS if c not in ("event_id", "event_ts")]
 CTES["silver_orders_legacy"] = f"""
 SELECT {", ".join(_LEGACY_COLS)}, qty * unit_price AS total_amount FROM (
   SELECT *, row_number() OVER (PARTITION BY event_id
                                ORDER BY {order_by_all(["event_ts ASC NULLS LAST"], _legacy_rest)}) AS rn
   FROM clean_orders_legacy
-  WHERE {" AND ".join(f"{c} IS NOT NULL" for c in S.LEGACY_REQUIRED)} AND qty > 0 AND unit_price >= 0
+  WHERE {" AND ".join(f"{c} IS NOT NULL" for c in LEGACY_REQUIRED)} AND qty > 0 AND unit_price >= 0
 ) WHERE rn = 1"""
 
 # ---- shipments
@@ -262,15 +333,15 @@ SHIPMENT_RAW_COLS = [n for n, _ in _SHIP_FIELDS]
 CTES["bronze_shipments"] = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in _SHIP_FIELDS) + " FROM lines"
 
 _ship_sel = []
-for _k, _v in S.SHIPMENT_SELECTION.items():
-    if _v in S.SHIPMENT_DATES:
+for _k, _v in SHIPMENT_SELECTION.items():
+    if _v in SHIPMENT_DATES:
         e = robust_date(_k)
     elif _v == "line_item_quantity":
         e = to_int(_k)
-    elif _v in S.SHIPMENT_DOUBLES:
+    elif _v in SHIPMENT_DOUBLES:
         e = f"TRY_CAST({_k} AS DOUBLE)"
-    elif _v in S.SHIPMENT_TEXT_STYLES:
-        e = trimcase(_k, S.SHIPMENT_TEXT_STYLES[_v])
+    elif _v in SHIPMENT_TEXT_STYLES:
+        e = trimcase(_k, SHIPMENT_TEXT_STYLES[_v])
     else:
         e = _k
     _ship_sel.append(f"{e} AS {_v}")

@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -19,12 +20,13 @@ def _is_local(spark: SparkSession) -> bool:
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only a local session without the setting gets a private scratch folder; on
-    a cluster an unset folder is an error, because a machine-local path would
-    not survive the loss of that machine.
+    Only a local session without the setting gets a private scratch folder; on a cluster an unset folder is an error, because a
+    machine-local path would not survive the loss of that machine.  A ``file:``
+    folder on a cluster must be a mount that all machines share; as Spark cannot
+    tell, it is accepted with a warning.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    current = sc.getCheckpointDir()
     if current:
         # Spark appends a per-application uuid folder; use its parent as the root
         return current.rstrip("/").rsplit("/", 1)[0] if "/" in current else current
@@ -36,6 +38,8 @@ def checkpoint_root(spark: SparkSession) -> str:
                 "(HDFS/S3/ABFS) before running strata jobs on a cluster"
             )
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
+    elif not _is_local(spark) and configured.startswith(("file:", "/")):
+        warnings.warn(f"spark.checkpoint.dir is {configured}: every machine must have this folder mounted", stacklevel=2)
     sc.setCheckpointDir(configured)
     return configured
 

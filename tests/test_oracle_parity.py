@@ -13,6 +13,6 @@ def test_query_matches_oracle(spark, sf_dir, duck, name):
 
 
 def test_every_query_is_registered_with_oracle_or_is_a_model():
-    models = {"ml_customer_clusters", "ml_demand_forecast", "ml_silhouette", "feature_summary",
+    models = {"ml_customer_clusters", "ml_demand_forecast", "ml_silhouette",
               "mart_cluster_analysis_kmeans", "mart_forecast_analysis_gbt", "pipeline_checks"}
     assert set(QUERIES) - set(ORACLES) == models
