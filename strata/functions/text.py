@@ -22,6 +22,22 @@ def snake_case_strict(name: str) -> str:
     return re.sub(r"\s+", "_", out)
 
 
+# ISO 3166 codes and the country names they stand for.
+COUNTRY_NAMES = {
+    "AR": "Argentina", "BR": "Brazil", "CA": "Canada", "CN": "China", "DE": "Germany", "DZ": "Algeria", "EG": "Egypt",
+    "ES": "Spain", "ET": "Ethiopia", "FR": "France", "GB": "United Kingdom", "ID": "Indonesia", "IN": "India", "IQ": "Iraq",
+    "IR": "Iran", "IT": "Italy", "JO": "Jordan", "JP": "Japan", "KE": "Kenya", "MA": "Morocco", "MZ": "Mozambique", "PE": "Peru",
+    "PL": "Poland", "PT": "Portugal", "RO": "Romania", "RU": "Russia", "SA": "Saudi Arabia", "US": "United States", "VN": "Vietnam",
+}
+
+
+def country_name(c: Column | str) -> Column:
+    """The name of a two-letter country code in either case; other texts stay as they are."""
+    c = F.col(c) if isinstance(c, str) else c
+    names = F.create_map(*[F.lit(x) for pair in COUNTRY_NAMES.items() for x in pair])
+    return F.coalesce(F.try_element_at(names, F.upper(F.trim(c))), c)
+
+
 def normalize_columns(df: DataFrame, strict: bool = False) -> DataFrame:
     """Rename every column in ONE projection (no chain of withColumnRenamed)."""
     fn = snake_case_strict if strict else snake_case

@@ -9,11 +9,11 @@ name that carries a large share of the facts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.dates import month_name, month_number
-from strata.functions.keys import dense_key, natural_key
+from strata.functions.dates import month_name, month_number, month_number_or_january, month_start
+from strata.functions.keys import dense_key, natural_key, order_spec
 
 
 def dim_time(silver_sales: DataFrame, silver_orders: DataFrame | None = None) -> DataFrame:
@@ -69,6 +69,20 @@ def dim_customer(silver_sales: DataFrame) -> DataFrame:
                         "customer_name", *CUSTOMER_ATTRS)
 
 
+def customer_history(silver_sales: DataFrame) -> DataFrame:
+    """Every attribute tuple a customer has had, valid from its first month until the next one's.
+
+    A current tuple has no ``_valid_to``; months without a number count as January.
+    """
+    attrs = [c for c in CUSTOMER_ATTRS if c != "distributor"]
+    seen = silver_sales.groupBy("customer_name", *attrs).agg(
+        F.min(month_start("year", month_number_or_january("month"))).alias("_valid_from"))
+    order = Window.partitionBy("customer_name").orderBy(*order_spec(["_valid_from", *attrs]))
+    until = F.lead("_valid_from").over(order)
+    last = F.lead(F.lit(1)).over(order).isNull()
+    return seen.select("customer_name", *attrs, "_valid_from", until.alias("_valid_to"), last.alias("_is_current"))
+
+
 def dim_sales_rep(silver_sales: DataFrame) -> DataFrame:
     reps = (silver_sales.select("name_of_sales_rep", "manager", "sales_team").distinct()
             .where(F.col("name_of_sales_rep").isNotNull()))

@@ -596,6 +596,28 @@ def dim_customer(spark, sf):
     return lh(spark, sf).dim_customer()
 
 
+_HISTORY = "city, country, latitude, longitude, channel, sub_channel"
+
+
+@q("dim_customer_history", f"""
+SELECT customer_name, {_HISTORY}, _valid_from, LEAD(_valid_from) OVER w AS _valid_to, LEAD(1) OVER w IS NULL AS _is_current
+FROM (SELECT customer_name, {_HISTORY}, MIN(make_date(year, COALESCE({O.month_num('month')}, 1), 1)) AS _valid_from
+      FROM silver_sales GROUP BY customer_name, {_HISTORY})
+WINDOW w AS (PARTITION BY customer_name ORDER BY _valid_from NULLS FIRST, {", ".join(c + " NULLS FIRST" for c in _HISTORY.split(", "))})""")
+def dim_customer_history(spark, sf):
+    return gold.customer_history(lh(spark, sf).silver_sales())
+
+
+@q("fn_country_name", """
+SELECT n_nationkey, left(n_name, 2) AS code, CASE left(n_name, 2) WHEN 'AR' THEN 'Argentina' WHEN 'BR' THEN 'Brazil' WHEN 'CA' THEN 'Canada'
+  WHEN 'CN' THEN 'China' WHEN 'DE' THEN 'Germany' WHEN 'EG' THEN 'Egypt' WHEN 'ET' THEN 'Ethiopia' WHEN 'FR' THEN 'France' WHEN 'IN' THEN 'India'
+  WHEN 'IR' THEN 'Iran' WHEN 'JO' THEN 'Jordan' WHEN 'KE' THEN 'Kenya' WHEN 'MO' THEN 'MO' WHEN 'PE' THEN 'Peru' WHEN 'RO' THEN 'Romania'
+  WHEN 'RU' THEN 'Russia' WHEN 'SA' THEN 'Saudi Arabia' ELSE left(n_name, 2) END AS country FROM nation""")
+def fn_country_name(spark, sf):
+    code = F.substring("n_name", 1, 2)
+    return Tables(spark, sf).nation.select("n_nationkey", code.alias("code"), T.country_name(code).alias("country"))
+
+
 @q("dim_sales_rep", "SELECT * FROM dim_sales_rep")
 def dim_sales_rep(spark, sf):
     return lh(spark, sf).dim_sales_rep()

@@ -29,6 +29,15 @@ def parse_order_events(raw: DataFrame, schema: StructType = ORDER_EVENT_SCHEMA)
     return raw.select(F.inline(F.array(F.coalesce(parsed, null_row))))
 
 
+def with_delivery(raw: DataFrame, schema: StructType = ORDER_EVENT_SCHEMA) -> DataFrame:
+    """``parse_order_events`` plus where and when each event came: ``_kafka_partition``,
+    ``_kafka_offset`` (NULL for a source without them) and ``_processed_at``."""
+    place = [(F.col(c) if c in raw.columns else F.lit(None)).cast(t).alias(f"_kafka_{c}") for c, t in (("partition", "int"), ("offset", "bigint"))]
+    parsed = F.from_json(F.col("value").cast("string"), schema)
+    null_row = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return raw.select(F.inline(F.array(F.coalesce(parsed, null_row))), *place, F.current_timestamp().alias("_processed_at"))
+
+
 def read_kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str,
                       starting_offsets: str = "latest") -> DataFrame:
     """Kafka source (needs the spark-sql-kafka package on the classpath)."""

@@ -116,3 +116,25 @@ def test_checks_scan_the_written_marts(spark, sf_dir):
     for name in ("dq_not_null", "dq_unique", "dq_accepted_values"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "Join" not in plan and "Window" not in plan, name
+
+
+def test_customer_history_closes_older_versions(spark):
+    rows = [("A", "X", "January", 2001), ("A", "X", "May", 2000), ("A", "Y", "March", 2002), ("B", "Z", None, 2001)]
+    sales = spark.createDataFrame(rows, "customer_name string, city string, month string, year int").selectExpr(
+        "*", "'ES' as country", "1.0 as latitude", "2.0 as longitude", "'c' as channel", "null as sub_channel")
+    got = {(r.customer_name, r.city): (str(r._valid_from), r._valid_to and str(r._valid_to), r._is_current) for r in gold.customer_history(sales).collect()}
+    assert got == {("A", "X"): ("2000-05-01", "2002-03-01", False), ("A", "Y"): ("2002-03-01", None, True), ("B", "Z"): ("2001-01-01", None, True)}
+
+
+def test_delivery_columns(spark):
+    from strata.streaming.orders import with_delivery
+    raw = spark.createDataFrame([('{"event_id": "E1"}', 3, 77), ("#junk", 3, 78)], "value string, partition int, offset long")
+    rows = with_delivery(raw).collect()
+    assert [(r.event_id, r._kafka_partition, r._kafka_offset) for r in rows] == [("E1", 3, 77), (None, 3, 78)] and rows[0]._processed_at
+    assert with_delivery(raw.select("value")).first()._kafka_offset is None
+
+
+def test_country_names(spark):
+    from strata.functions.text import country_name
+    df = spark.createDataFrame([(" de",), ("Spain",), (None,), ("XX",)], "c string")
+    assert [r[0] for r in df.select(country_name("c")).collect()] == ["Germany", "Spain", None, "XX"]
