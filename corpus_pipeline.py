@@ -2,11 +2,14 @@
 
 Every stage is a function of (spark, docs, sf_dir) and returns a DataFrame,
 which is written as Parquet and read again as the next one's docs.  All but the
-last return the columns of ``docs``, extra ones included.
+last return the columns of ``docs``, extra ones included.  A stage deletes the
+scratch tables of the stage before, whose result is written by then.
 """
 
 from __future__ import annotations
 
+import functools
+import threading
 from typing import Callable
 
 import public_tokenizers
@@ -14,7 +17,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import bpe, mixing, near_dedup, ngram_quality, secrets
-from strata.llm.common import materialise, read_table, row_mark
+from strata.llm.common import collected_scratch, delete_scratch, materialise, read_table, row_mark
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_left = threading.local()
+
+
+def _stage(function: Stage) -> Stage:
+    """A stage that clears up after the one that ran before it in this thread."""
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        delete_scratch(spark, getattr(_left, "paths", []))
+        _left.paths = []
+        with collected_scratch() as _left.paths:
+            return function(spark, docs, sf_dir)
+
+    return run_stage
 
 
 def _matching(docs: DataFrame, verdicts: DataFrame, how: str, *mark_of: str) -> DataFrame:
@@ -24,6 +43,7 @@ def _matching(docs: DataFrame, verdicts: DataFrame, how: str, *mark_of: str) ->
     return rows.join(verdicts, F.col("id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_")), how).select("row.*")
 
 
+@_stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the n-gram classifier rejects.
 
@@ -34,6 +54,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return _matching(docs, judged.where(~F.col("kept")), "left_anti", "text", "lang")
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of each class of near duplicates the document with the smallest id.
 
@@ -51,6 +72,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.dropDuplicates(["id", "mark"]).select("row.*").unionByName(unnamed)
 
 
+@_stage
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace the secrets in the texts by a placeholder; n_chars follows. No document goes."""
     spans = "spans"
@@ -62,11 +84,13 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return redacted.withColumn("n_chars", F.when(F.col("n_chars") == -1, length).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
+@_stage
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mix: the written files hold it one after another."""
     return mixing.mix(docs).orderBy("slot", "in_block").select("row.*")
 
 
+@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and offsets of every document, and digests of the ids and of what they decode to."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -74,7 +98,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "token_ids", "token_offsets", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("quality_classifier", quality_classifier),
     ("near_duplicates", near_duplicates),
     ("secret_scans", secret_scans),

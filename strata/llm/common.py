@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import importlib.util
 import os
 import shutil
 import tempfile
+import threading
 from typing import Callable, Iterable, Iterator, TypeVar
 
 import numpy as np
@@ -23,6 +25,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_collector = threading.local()
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
@@ -31,9 +36,28 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if getattr(_collector, "paths", None) is not None:
+        _collector.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def collected_scratch() -> Iterator[list[str]]:
+    """The folders that ``materialise`` writes in this thread meanwhile."""
+    outer, _collector.paths = getattr(_collector, "paths", None), []
+    try:
+        yield _collector.paths
+    finally:
+        _collector.paths = outer
+
+
+def delete_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that ``materialise`` wrote and nothing reads any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def as_text(column: str) -> Column:
     """The text column as a string, null read as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
