@@ -157,6 +157,11 @@ def extract(page: str, template: frozenset[int] = frozenset()) -> str:
     root = parse(page)
     signatures: dict[int, int] = {}
     _hash(root, {}, signatures)
+    half = root.size / 2
+
+    def boilerplate(n: Node) -> int:
+        """A form around most of the page's text is only a wrapper."""
+        return 0 if n.tag == "form" and n.size > half else n.skip
 
     def live(node: Node, kind: str) -> list[Node]:
         """Outermost elements of the kind that aren't in a boilerplate element by tag."""
@@ -165,12 +170,12 @@ def extract(page: str, template: frozenset[int] = frozenset()) -> str:
             n = todo.pop()
             if n.tag == kind:
                 out.append(n)
-            elif n.skip < 2:
+            elif boilerplate(n) < 2:
                 todo += [c for c in reversed(n.children) if isinstance(c, Node)]
         return out
 
     tops = [n for n in live(root, "article") if n.size] or [n for n in live(root, "main") if n.size]
-    inside, half = bool(tops), root.size / 2
+    inside = bool(tops)
     blocks: list[str] = []
     run: list[str] = []
 
@@ -180,7 +185,7 @@ def extract(page: str, template: frozenset[int] = frozenset()) -> str:
         run.clear()
 
     def dropped(n: Node) -> bool:
-        if n.skip and not (inside and n.tag == "header"):
+        if boilerplate(n) and not (inside and n.tag == "header"):
             return True
         if signatures[id(n)] not in template or n.tag in ("html", "body") or n.size > half:
             return False

@@ -241,6 +241,8 @@ ARTICLE = "<article><h1>Head &amp; tail</h1><p>One <b>two</b> th<i>ree</i>\n&nbs
     ("<p>cut <b>off</p><p>here</b> and <a href='x", "cut off\nhere and"),
     ("<article><aside>s</aside><p>kept</p><div role=navigation>n</div><p hidden>h</p></article>", "kept"),
     ("<script>never closed <p>x</p>", ""),
+    ("<body><form id='page'><nav>menu</nav><article><p>all in a form</p></article></form></body>", "all in a form"),
+    ("<p>a long enough paragraph of text</p><form>Your name <input></form>", "a long enough paragraph of text"),
     ("", ""),
 ])
 def test_extraction(page, text):
