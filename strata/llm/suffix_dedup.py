@@ -8,10 +8,11 @@ as triggers cut them, no phrase depends on what lies outside.  The corpus is the
 sequence of its phrases (the parse) over the distinct phrases (the dictionary).
 
 Every string lies in the phrase of its trigger, so two equal strings lie in
-phrases with the same trigger bytes.  Dictionary entries are gathered by their
-trigger.  Where a trigger has one phrase in the whole corpus, its occurrences
-follow corpus order and all but the first are repeats.  Where it has several,
-the strings of these phrases are ordered among themselves.
+phrases with the same trigger bytes.  A phrase that stands earlier in the corpus
+is a repeat whole.  What is left is the first occurrence of each dictionary
+entry: where a trigger has several entries, these are cut into slices of
+neighbouring strings, equal slices are folded, and only the strings of slices
+that agree in their common bytes but not in all are compared one by one.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from strata.llm.common import as_text, by_rows, by_volume, map_arrow, materialis
 
 TRIGGER = 32
 PLACE_BITS = 28
+#: strings of a slice
+SLICE = 8
 LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 _BYTES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -67,11 +70,13 @@ def hashes(sums: np.ndarray, start: np.ndarray, length: np.ndarray | int) -> np.
 
 @dataclass
 class Phrases:
-    """Phrases of some texts: whose, the first and last string's start in the text, the hashes of the trigger and of the phrase."""
+    """Phrases of some texts: whose, the first and last string's start and the trigger's start in
+    the text, the hashes of the trigger and of the phrase."""
 
     owner: np.ndarray
     first: np.ndarray
     last: np.ndarray
+    place: np.ndarray
     trigger: np.ndarray
     phrase: np.ndarray
 
@@ -112,18 +117,21 @@ def parse(texts: list[bytes], length: int) -> Phrases:
     first, last, place = start[cut], start[np.append(cut[1:], len(start)) - 1], place[cut]
     owner = np.searchsorted(ends, first, side="right")
     begin = (ends - sizes)[owner]
-    return Phrases(owner, first - begin, last - begin, hashes(sums, place, TRIGGER), hashes(sums, first, last - first + length))
+    return Phrases(owner, first - begin, last - begin, place - begin, hashes(sums, place, TRIGGER), hashes(sums, first, last - first + length))
 
 
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc, mark, text``: the id (null counts as the last), a hash that tells texts of one id apart, the text."""
+    """``doc, mark, text``: the id (null counts as the last), a hash that tells texts of one id
+    apart (0 where every id has one row), the text."""
     text = as_text(text_col)
-    return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), text.alias("text"))
+    unique = rows.groupBy("doc").count().where("count > 1").isEmpty()
+    return rows.select("doc", (F.lit(0).cast("long") if unique else F.xxhash64("text")).alias("mark"), "text")
 
 
 def _parsed(batches: Iterator[pa.RecordBatch], length: int, group_bytes: int) -> Iterator[tuple[np.ndarray, np.ndarray, Phrases]]:
     """Ids, marks and phrases of the texts, group by group."""
-    for batch in by_rows(batches, 4096):
+    for batch in by_rows(batches, 1024):
         texts = batch.column(2).cast(pa.binary()).to_pylist()
         doc, mark = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         long_enough = [i for i, t in enumerate(texts) if len(t) >= length]
@@ -149,7 +157,7 @@ def dictionary(rows: DataFrame, length: int, group_bytes: int) -> DataFrame:
         for doc, _, phrases in _parsed(batches, length, group_bytes):
             ids = doc[phrases.owner]
             held.append((phrases.trigger, ids, ids, phrases.phrase, phrases.phrase))
-            if sum(len(x[0]) for x in held) > 500_000:
+            if sum(len(x[0]) for x in held) > 100_000:
                 yield folded()
                 held.clear()
         if held:
@@ -161,12 +169,10 @@ def dictionary(rows: DataFrame, length: int, group_bytes: int) -> DataFrame:
     return whole.where((F.col("low") < F.col("high")) | several).select("trigger", F.col("low").alias("first_doc"), several.alias("several"))
 
 
-def trigger_filter(triggers: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of fixed size over the triggers' highest bits: those that may be in the dictionary.
-
-    It only spares rows from the join that follows; when it fills up, more rows join."""
-    pages = bits - 16
+def key_filter(keys: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of 2**bits bits over the highest bits of well-mixed 64-bit ``keys``: those that may occur.
 
+    Its size is fixed; when it fills up, it spares less work, nothing else."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -176,73 +182,176 @@ def trigger_filter(triggers: DataFrame, bits: int) -> np.ndarray:
                 bitmap[slot[slot >> 16 == page] & 0xFFFF] = True
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([np.packbits(b).tobytes() for b in found.values()], pa.binary())], names=["page", "bitmap"])
 
-    slots = triggers.select(F.shiftrightunsigned("trigger", 64 - bits).alias("slot"))
+    slots = keys.select(F.shiftrightunsigned(F.col(keys.columns[0]), 64 - bits).alias("slot"))
     out = np.zeros(1 << (bits - 3), np.uint8)
-    for row in map_arrow(slots.repartition(F.shiftright("slot", 16)), run, "page long, bitmap binary").toLocalIterator():  # 2**pages rows of 8 kB at most
-        assert row.page < 1 << pages
+    for row in map_arrow(slots.repartition(F.shiftright("slot", 16)), run, "page long, bitmap binary").collect():  # 2**(bits - 16) rows of 8 kB at most
         out[row.page << 13:(row.page + 1) << 13] = np.frombuffer(row.bitmap, np.uint8)
     return out
 
 
+def may_hold(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which 64-bit keys may be in a ``key_filter``."""
+    slot = (keys.view(np.uint64) >> np.uint64(64 - (len(bitmap).bit_length() + 2))).astype(np.int64)
+    return (bitmap[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def merged(first: np.ndarray, last: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Join ranges that follow one another without a break: positions of the first of each, first, last."""
+    cut = np.flatnonzero(breaks | np.concatenate([[True], first[1:] != last[:-1] + 1])[:len(first)])
+    return cut, first[cut], last[np.append(cut[1:], len(first)) - 1] if len(cut) else last[:0]
+
+
 def occurrences(rows: DataFrame, triggers: DataFrame, length: int, group_bytes: int, filter_bits: int) -> DataFrame:
-    """``doc, mark, first, last, trigger``: phrases that repeat (trigger null), and phrases with a
-    trigger of several phrases, whose strings are still to be compared."""
-    shared = rows.sparkSession.sparkContext.broadcast(trigger_filter(triggers, filter_bits))
+    """``doc, mark, first, last, place, trigger, phrase``: phrases that repeat (trigger null), and
+    phrases whose trigger has several (place, trigger and phrase given)."""
+    shared = rows.sparkSession.sparkContext.broadcast((key_filter(triggers.select("trigger"), filter_bits), key_filter(triggers.where("several").select("trigger"), filter_bits)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = shared.value
+        known, mixed = shared.value
         for doc, mark, p in _parsed(batches, length, group_bytes):
             again = p.again()
-            slot = (p.trigger.view(np.uint64) >> np.uint64(64 - filter_bits)).astype(np.int64)
-            maybe = np.flatnonzero(again | (bitmap[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool))
-            owner = p.owner[maybe]
-            columns = [doc[owner], mark[owner], p.first[maybe].astype(np.int32), p.last[maybe].astype(np.int32), p.trigger[maybe], again[maybe]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc", "mark", "first", "last", "trigger", "again"])
-
-    found = map_arrow(rows, run, "doc long, mark long, first int, last int, trigger long, again boolean")
-    joined = found.join(triggers, "trigger", "left")
-    repeats = F.col("again") | (~F.col("several") & (F.col("doc") > F.col("first_doc")))
-    return joined.where(repeats | F.col("several")).select("doc", "mark", "first", "last", F.when(~repeats, F.col("trigger")).alias("trigger"))
+            at = np.flatnonzero(again)
+            owner = p.owner[at]
+            cut, first, last = merged(p.first[at], p.last[at], np.concatenate([[True], owner[1:] != owner[:-1]])[:len(at)])
+            ask = np.flatnonzero(~again & may_hold(known, p.trigger))
+            who = np.concatenate([owner[cut], p.owner[ask]])
+            nulls = np.concatenate([np.ones(len(cut), bool), np.zeros(len(ask), bool)])
+            trigger = pa.array(np.concatenate([np.zeros(len(cut), np.int64), p.trigger[ask]]), mask=nulls)
+            phrase = pa.array(np.concatenate([np.zeros(len(cut), np.int64), p.phrase[ask]]), mask=np.concatenate([np.ones(len(cut), bool), ~may_hold(mixed, p.trigger[ask])]))
+            ranges = [np.concatenate(x).astype(np.int32) for x in ((first, p.first[ask]), (last, p.last[ask]), (first, p.place[ask]))]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[who]), pa.array(mark[who]), *map(pa.array, ranges), trigger, phrase], names=["doc", "mark", "first", "last", "place", "trigger", "phrase"])
+
+    found = map_arrow(rows, run, "doc long, mark long, first int, last int, place int, trigger long, phrase long")
+    joined = found.join(triggers, "trigger", "left").where("trigger is null or several or doc > first_doc")
+    return joined.select("doc", "mark", "first", "last", "place", F.when(F.col("several"), F.col("trigger")).alias("trigger"), F.when(F.col("several"), F.col("phrase")).alias("phrase"))
+
+
+def by_presence(rows: DataFrame, keys: DataFrame, filter_bits: int, held: bool) -> DataFrame:
+    """``doc, mark, packed``: of the rows that ``keys`` (``doc, mark``) may name, the text compressed
+    for a shuffle; or, with ``held`` false, ``doc, mark, text`` of the rows that it doesn't name.
+
+    By a bitmap of fixed size, so that the unnamed rows need no shuffle."""
+    bits, key = min(filter_bits, 24), F.xxhash64("doc", "mark")
+    bitmap = rows.sparkSession.sparkContext.broadcast(key_filter(keys.select(key.alias("key")), bits))
 
-
-def packed(rows: DataFrame) -> DataFrame:
-    """``doc, mark, packed``: the texts compressed, for a shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_rows(batches):
-            texts = [zlib.compress(t, 1) for t in batch.column(2).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.binary())], names=["doc", "mark", "packed"])
+            mine = pa.array(may_hold(bitmap.value, batch.column(3).to_numpy()) == held)
+            doc, mark, text = (c.filter(mine) for c in batch.columns[:3])
+            if held:
+                text = pa.array([zlib.compress(t, 1) for t in text.cast(pa.binary()).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([doc, mark, text], names=["doc", "mark", "packed" if held else "text"])
 
-    return map_arrow(rows, run, "doc long, mark long, packed binary")
+    return map_arrow(rows.select("doc", "mark", "text", key.alias("key")), run, f"doc long, mark long, {'packed binary' if held else 'text string'}")
 
 
-def compared(rows: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """``doc, mark, first, last``: strings of the phrases ``asked`` that start earlier elsewhere."""
+def entry_bytes(rows: DataFrame, entries: DataFrame, length: int, filter_bits: int) -> DataFrame:
+    """``doc, mark, first, last, offset, bytes``: the entries with their phrases' bytes and the
+    trigger's place in them; and, without bytes, the strings of entries that start earlier in the same text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_rows(batches):
-            out: list[tuple] = []
+            out = []
             for doc, mark, text, spans in zip(*(c.to_pylist() for c in batch.columns)):
-                sums = prefix_sums(np.frombuffer(zlib.decompress(text), np.uint8))
-                first, last, trigger = (np.array([s[k] for s in spans], np.int64) for k in ("first", "last", "trigger"))
-                counts = last - first + 1
-                begin = np.repeat(first - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(int(counts.sum()))
-                key, string = np.repeat(trigger, counts), hashes(sums, begin, length)
-                order = np.lexsort((begin, string, key))
-                begin, key, string = begin[order], key[order], string[order]
-                again = np.concatenate([[False], (key[1:] == key[:-1]) & (string[1:] == string[:-1])])
-                out.append((np.full(len(begin), doc), np.full(len(begin), mark), begin.astype(np.int32), key, string, again))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["doc", "mark", "first", "trigger", "string", "again"])
-
-    spans = asked.groupBy("doc", "mark").agg(F.collect_list(F.struct("first", "last", "trigger")).alias("spans"))
-    texts = packed(rows).join(materialise(spans, "asked"), ["doc", "mark"])
-    strings = materialise(map_arrow(texts.select("doc", "mark", "packed", "spans"), run, "doc long, mark long, first int, trigger long, string long, again boolean"), "strings")
-    earliest = strings.groupBy("trigger", "string").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")).where("first_doc < last_doc")
-    earliest = materialise(earliest.select("trigger", "string", "first_doc"), "earliest")
-    hit = strings.join(earliest, ["trigger", "string"], "left").where("again or doc > first_doc")
-    return hit.select("doc", "mark", "first", F.col("first").alias("last"))
-
-
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, group_bytes: int = 1 << 18, filter_bits: int = 27) -> DataFrame:
+                data = zlib.decompress(text)
+                out += [(doc, mark, s["first"], s["last"], s["place"] - s["first"], data[s["first"]:s["last"] + length]) for s in spans]
+                if len(spans) > 1:
+                    start = np.concatenate([np.arange(s["first"], s["last"] + 1) for s in spans])
+                    string = hashes(prefix_sums(np.frombuffer(data, np.uint8)), start, length)
+                    order = np.lexsort((start, string))
+                    again = np.sort(start[order[1:]][string[order[1:]] == string[order[:-1]]])
+                    _, first, last = merged(again, again, np.zeros(len(again), bool))
+                    out += [(doc, mark, a, b, None, None) for a, b in zip(first.tolist(), last.tolist())]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["doc", "mark", "first", "last", "offset", "bytes"])
+
+    spans = materialise(entries.groupBy("doc", "mark").agg(F.collect_list(F.struct("first", "last", "place")).alias("spans")), "entries-by-doc")
+    texts = by_presence(rows, spans, filter_bits, True).join(spans, ["doc", "mark"])
+    return map_arrow(texts.select("doc", "mark", "packed", "spans"), run, "doc long, mark long, first int, last int, offset int, bytes binary")
+
+
+def _ranges(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of some ranges laid end to end: whose, the place in it."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
+
+
+def _slices(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, ...]:
+    """Cut entries into slices of SLICE strings by their distance to the trigger.
+
+    All strings of a slice hold its core, the bytes that they have in common, so
+    entries that share a string of a slice share its core.  Returns sums of the
+    rolling hash, and of each slice: the entry, the first string (in the sums'
+    bytes), the number of strings, the hashes of the core and of all its bytes."""
+    offset, pieces = batch.column(3).to_numpy().astype(np.int64), batch.column(4).to_pylist()
+    sizes = np.array([len(p) for p in pieces], np.int64)
+    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    sums = prefix_sums(np.frombuffer(b"".join(pieces), np.uint8))
+    strings = sizes - length + 1
+    near, far = (offset - strings + 1) // SLICE, offset // SLICE  # distances of the last and the first string
+    owner, step = _ranges(far - near + 1)
+    distance = (near[owner] + step) * SLICE  # the smallest of the slice
+    high = np.minimum(distance + SLICE - 1, offset[owner])
+    low = np.maximum(distance, offset[owner] - strings[owner] + 1)
+    place = begin[owner] + offset[owner]
+    core = hashes(sums, place - distance, length - SLICE + 1) ^ mix64(distance.astype(np.uint64)).view(np.int64)
+    return sums, owner, place - high, high - low + 1, core, hashes(sums, place - high, length + high - low)
+
+
+def compared(entries: DataFrame, length: int, filter_bits: int) -> DataFrame:
+    """``doc, mark, first, last``: strings of entries (``doc, mark, first, offset, bytes``) that a smaller document has.
+
+    Slices with equal bytes are repeats of the first; where a core has several
+    contents, the strings of each content's first slice are compared.  All of it
+    is grouping by hash, so no group of entries meets in one task."""
+    def sliced(batch: pa.RecordBatch) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        sums, owner, first, n, core, content = _slices(batch, length)
+        sizes = np.array([len(p) for p in batch.column(4).to_pylist()], np.int64)
+        shift = (batch.column(2).to_numpy() - np.concatenate([[0], np.cumsum(sizes)[:-1]]))[owner]  # to places in the text
+        doc, mark = (batch.column(i).to_numpy()[owner] for i in (0, 1))
+        return sums, {"core": core, "content": content, "doc": doc, "mark": mark, "first": first, "n": n, "shift": shift}
+
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_rows(batches, 4096):
+            _, x = sliced(batch)
+            yield pa.RecordBatch.from_arrays([pa.array(x[c]) for c in ("core", "content", "doc")], names=["core", "content", "doc"])
+
+    counted = map_arrow(entries, contents, "core long, content long, doc long").groupBy("core", "content").agg(F.min("doc").alias("first_doc"), F.count("*").alias("n"))
+    counted = materialise(counted, "slice-contents")
+    several = materialise(counted.groupBy("core").agg(F.count("*").alias("contents")).where("contents > 1").select("core"), "slice-cores")
+    both = F.col("core").bitwiseXOR(F.col("content"))
+    repeated = counted.where("n > 1")
+    asked = counted.join(several, "core").select(both.bitwiseXOR(F.shiftleft("first_doc", 64 - filter_bits)).alias("key"))
+    shared = entries.sparkSession.sparkContext.broadcast((key_filter(repeated.select(both.alias("key")), filter_bits), key_filter(asked, filter_bits)))
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Slices that may repeat (with their content), and the strings of slices that are asked for."""
+        repeats, asks = shared.value
+        for batch in by_rows(batches, 4096):
+            sums, x = sliced(batch)
+            key = x["core"] ^ x["content"]
+            whole = np.flatnonzero(may_hold(repeats, key))
+            split = np.flatnonzero(may_hold(asks, key ^ (x["doc"] << (64 - filter_bits))))
+            of, step = _ranges(x["n"][split])
+            at = split[of]
+            start = x["first"][at] + step
+            rows = np.concatenate([whole, at])
+            first = np.concatenate([x["first"][whole], start]) + x["shift"][rows]
+            last = np.concatenate([first[:len(whole)] + x["n"][whole] - 1, first[len(whole):]])
+            value = np.concatenate([x["content"][whole], hashes(sums, start, length)])
+            kind = np.concatenate([np.ones(len(whole), bool), np.zeros(len(at), bool)])
+            columns = [x["core"][rows], value, x["doc"][rows], x["mark"][rows], first.astype(np.int32), last.astype(np.int32), kind]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["core", "value", "doc", "mark", "first", "last", "whole"])
+
+    found = materialise(map_arrow(entries, parts, "core long, value long, doc long, mark long, first int, last int, whole boolean"), "slice-parts")
+    columns = ["doc", "mark", "first", "last"]
+    slices = found.where("whole").join(repeated.select("core", F.col("content").alias("value"), "first_doc"), ["core", "value"]).where("doc > first_doc")
+    strings = found.where("not whole")
+    seen = strings.groupBy("core", "value").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")).where("first_doc < last_doc")
+    later = strings.join(materialise(seen.drop("last_doc"), "strings-seen"), ["core", "value"]).where("doc > first_doc")
+    return slices.select(columns).unionByName(later.select(columns))
+
+
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, group_bytes: int = 1 << 18, filter_bits: int = 26) -> DataFrame:
     """``<id_col>, n_bytes, n_removed, n_spans, kept``, one row for each input row.
 
     Removes from each text's UTF-8 bytes every byte covered by a string of
@@ -258,7 +367,14 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = _rows(df, id_col, text_col)
     triggers = materialise(dictionary(rows, length, group_bytes), "triggers")
     phrases = materialise(occurrences(rows, triggers, length, group_bytes, filter_bits), "occurrences")
-    spans = phrases.where("trigger is null").drop("trigger").unionByName(compared(rows, phrases.where("trigger is not null"), length))
+    mixed = phrases.where("trigger is not null")
+    firsts = materialise(mixed.groupBy("trigger", "phrase").agg(F.min("doc").alias("first_doc")), "entries")
+    ordered = mixed.join(firsts, ["trigger", "phrase"])
+    entries = materialise(entry_bytes(rows, ordered.where("doc = first_doc"), length, filter_bits), "entry-bytes")
+    columns = ["doc", "mark", "first", "last"]
+    strings = compared(entries.where("bytes is not null").select("doc", "mark", "first", "offset", "bytes"), length, filter_bits)
+    spans = (phrases.where("trigger is null").select(columns).unionByName(ordered.where("doc > first_doc").select(columns))
+             .unionByName(entries.where("bytes is null").select(columns)).unionByName(strings))
     spans = materialise(spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,17 +382,19 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out = []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 data = np.frombuffer(zlib.decompress(text), np.uint8)
-                if not found:
-                    out.append((len(data), 0, 0, data.tobytes()))
-                    continue
-                change = np.bincount([s["first"] for s in found], minlength=len(data) + 1) - np.bincount([s["last"] + length for s in found], minlength=len(data) + 1)
+                change = np.zeros(len(data) + 1, np.int64)
+                for s in found or ():
+                    change[s["first"]] += 1
+                    change[s["last"] + length] -= 1
                 gone = np.cumsum(change)[:-1] > 0
-                runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+                runs = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
                 out.append((len(data), int(gone.sum()), runs, data[~gone].tobytes()))
             columns = list(zip(*out))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, [pa.int64()] * 3 + [pa.binary()]))],
                                              names=["doc", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = packed(rows).join(spans, ["doc", "mark"], "left").select("doc", "packed", "spans")
+    joined = by_presence(rows, spans, filter_bits, True).join(spans, ["doc", "mark"], "left").select("doc", "packed", "spans")
     out = map_arrow(joined, run, "doc long, n_bytes long, n_removed long, n_spans long, kept binary")
-    return out.select(F.when(F.col("doc") != LAST, F.col("doc")).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")
+    whole = by_presence(rows, spans, filter_bits, False).select("doc", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+                                                          F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept"))
+    return out.unionByName(whole).select(F.when(F.col("doc") != LAST, F.col("doc")).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")
