@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import as_text, by_volume, hash64, map_arrow, materialise, mix64, row_mark
+from strata.llm.common import as_text, by_rows, by_volume, hash64, map_arrow, materialise, mix64, row_mark
 
 SHINGLE = 5
 POSITIONS, ROWS = 96, 4
@@ -39,7 +39,7 @@ class _Words(dict):
     """Hashes of words, kept between texts."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 250_000:
             self.clear()
         self[word] = h = hash64(word.encode("utf-8", "replace"))
         return h
@@ -138,12 +138,12 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return np.concatenate([keys, mix64(pairs)], axis=1).view(np.int64)
 
 
-def signature_rows(df: DataFrame, id_col: str, text_col: str, group_words: int = 1 << 19) -> DataFrame:
+def signature_rows(df: DataFrame, id_col: str, text_col: str, group_words: int = 1 << 18) -> DataFrame:
     """``id, mark, print, keys`` of every row: a hash of the text, the 128-bit print of the word
     sequence and the band keys, these two null for texts without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        for batch in batches:
+        for batch in by_rows(batches, 1024):
             hashed = [word_hashes(t, words) for t in batch.column(1).to_pylist()]
             prints = [hash64(h.tobytes()).to_bytes(8, "little") + hash64(b"2" + h.tobytes()).to_bytes(8, "little") if len(h) else None for h in hashed]
             once = list({p: i for i, p in enumerate(prints) if p}.values())
@@ -180,7 +180,7 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
                 bags[node] = np.unique(shingles(word_hashes(zlib.decompress(packed).decode("utf-8"), words)), return_counts=True)
             return bags[node]
 
-        for batch in batches:
+        for batch in by_rows(batches, 1024):
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             same = [overlap(bag(x, p), bag(y, q)) >= similarity for x, y, p, q in zip(a, b, batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([x.filter(pa.array(same, pa.bool_())) for x in batch.columns[:2]], names=["a", "b"])
@@ -193,7 +193,7 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 def pack_texts(df: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``node, packed``: the compressed texts of the documents in ``nodes`` (``node``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_rows(batches, 1024):
             packed = [zlib.compress(t, 1) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["node", "packed"])
 
