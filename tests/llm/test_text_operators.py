@@ -220,6 +220,24 @@ def test_classifier_keeps_clean_and_rejects_junk(spark):
     assert kept[1] > 0.99 and kept[0] < 0.45
 
 
+def test_classifier_rejects_junk_of_small_languages(spark):
+    """No cell of language and length has 50 held-out texts here; every language has a bound all the same."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = ngram_quality.classify(docs, labels).join(labels.where("toxic = 0 or quality = 0"), "doc_id").collect()
+    for lang in ("en", "de", "es", "fr"):
+        junk, clean = ([r for r in rows if r.lang == lang and r.quality == q] for q in (0, 1))
+        assert all(r.highest for r in junk) and sum(not r.kept for r in junk) > len(junk) / 2
+        assert sum(r.kept for r in clean) > 0.9 * len(clean)
+
+
+def test_every_class_of_length_has_a_bound(spark):
+    pick = random.Random(9)
+    rows = [("x", pick.choice([100, 500, 2000]), pick.gauss(2, 0.05)) for _ in range(60)] + [(None, 500, 3.0)]
+    got = {(r.lang, r.length): r.highest for r in ngram_quality.bounds(spark.createDataFrame(rows, "lang string, n_bytes long, bits double"), 0.998, 0.0, 500).collect()}
+    assert set(got) == {(lang, n) for lang in ("x", None) for n in range(4)}
+    assert all(2.05 < got["x", n] < 2.6 for n in range(4)) and 2.9 < got[None, 1] < 3.1
+
+
 def test_classifier_edge_rows(spark):
     rows = [(1, None, "en", 0), (1, "", None, 0), (None, "abc", "en", 0), (3, "abc def", "xx", 0), (3, "abc def", "xx", 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, bits int")
