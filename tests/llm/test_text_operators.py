@@ -230,6 +230,15 @@ def test_classifier_rejects_junk_of_small_languages(spark):
         assert sum(r.kept for r in clean) > 0.9 * len(clean)
 
 
+def test_bound_is_the_quantile_itself(spark):
+    """On the tenfold larger tables: no margin, so most of the labelled junk goes, and clean texts stay."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    train = labels.where("doc_id % 5 > 0 or quality = 0")
+    rows = ngram_quality.classify(docs, train).join(labels.where("doc_id % 5 = 0 and toxic = 0"), "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    kept = {r.quality: r.kept for r in rows}
+    assert kept[1] > 0.99 and kept[0] < 0.2
+
+
 def test_every_class_of_length_has_a_bound(spark):
     pick = random.Random(9)
     rows = [("x", pick.choice([100, 500, 2000]), pick.gauss(2, 0.05)) for _ in range(60)] + [(None, 500, 3.0)]
