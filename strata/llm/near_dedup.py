@@ -12,8 +12,9 @@ latest position of its document.
 Exact copies (equal word sequences) are folded into one node first.  Nodes that
 share a band are compared with the bucket's hub, the member with most bucket
 mates, by the overlap of their shingle multisets; further rounds compare the
-other classes of a bucket with new hubs.  A bucket so costs its size, however
-large it is.
+other classes of a bucket with new hubs, each at the cost of the bucket's size.
+What is still of several classes then is compared by an exact prefix filter:
+texts over the bound share one of their rarest shingles.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from strata.llm.common import as_text, by_rows, by_volume, hash64, map_arrow, ma
 SHINGLE = 5
 POSITIONS, ROWS = 96, 4
 BANDS = POSITIONS // ROWS
+#: counters that put shingles in order of frequency (any order gives the same pairs)
+COUNTERS = 1 << 20
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -254,6 +257,65 @@ def hub_pairs(rows: DataFrame, hubs: DataFrame) -> DataFrame:
     return rows.join(hubs, "key").where("label <> hub_label").select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
 
 
+def left_over(buckets: DataFrame, labels: DataFrame, past: DataFrame) -> DataFrame:
+    """``node, label`` of the members, not hubs, of buckets where such members are of several classes."""
+    rows = buckets.select("key", "node").join(past.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti")
+    rows = materialise(rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "left-rows")
+    mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+    return rows.join(mixed, "key", "left_semi").select("node", "label").distinct()
+
+
+def prefixes(texts: DataFrame, similarity: float) -> DataFrame:
+    """``node, token, size, place``: of each text's shingles, equal ones numbered, the rarest that any
+    other text of the given similarity must share one of.  ``texts`` has ``node, packed``."""
+    def bag(packed: bytes, words: _Words) -> np.ndarray:
+        return np.sort(shingles(word_hashes(zlib.decompress(packed).decode("utf-8"), words)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, counts = _Words(), np.zeros(COUNTERS, np.int64)
+        for batch in by_rows(batches, 1024):
+            for packed in batch.column(1).to_pylist():
+                np.add.at(counts, (bag(packed, words) % np.uint64(COUNTERS)).astype(np.int64), 1)
+        slots = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(counts[slots])], names=["slot", "n"])
+
+    found = map_arrow(texts, count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # COUNTERS rows at most
+    frequency = np.zeros(COUNTERS, np.int64)
+    frequency[found["slot"].to_numpy()] = found["n"].to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(frequency)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, counts = _Words(), shared.value
+        for batch in by_rows(batches, 64):
+            out = []
+            for node, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                elements = bag(packed, words)
+                n = len(elements)
+                nth = np.arange(n) - np.searchsorted(elements, elements)
+                tokens = mix64(elements + GOLDEN * nth.astype(np.uint64))
+                order = np.lexsort((tokens, counts[(elements % np.uint64(COUNTERS)).astype(np.int64)]))
+                first = tokens[order[:n - math.ceil(similarity * n - 1e-6) + 1]].view(np.int64)
+                out.append((np.full(len(first), node), first, np.full(len(first), n), np.arange(len(first))))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["node", "token", "size", "place"])
+
+    return map_arrow(texts, run, "node long, token long, size long, place long")
+
+
+def prefix_pairs(tokens: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: the texts of different classes that share a token and can reach the similarity, from
+    ``node, token, size, place, label``.
+
+    One side of a pair is outside the token's commonest class, so a class of near
+    copies, however large, isn't compared with itself."""
+    classes = tokens.groupBy("token", "label").agg(F.count("*").alias("n")).groupBy("token").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("classes"))
+    rows = materialise(tokens.join(classes.where("classes > 1").select("token", F.col("main.label").alias("main")), "token"), "tokens")
+    x, y = rows.where("label <> main").alias("x"), rows.alias("y")
+    rest = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))  # right at the first token that both have
+    reach = rest >= similarity / (1 + similarity) * (F.col("x.size") + F.col("y.size")) - 1e-6
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.label") != F.col("y.label")) & reach)
+    return pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+
+
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, rounds: int = 3) -> DataFrame:
     """``<id_col>, class_id, is_first, mark``, one row for each input row.
 
@@ -269,8 +331,8 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Every pair of different texts at 0.8 shares one of the 24 bands of 4 with a
     probability of 0.999997.  A bucket compares its members with hubs in
-    ``rounds`` rounds, not each with each: a link can be missed only between two
-    texts neither of which was a hub or like the same hub, in any shared bucket.
+    ``rounds`` rounds; members that are still of several classes then are compared
+    by ``prefix_pairs``, which loses no link.
     """
     rows = materialise(signature_rows(df, id_col, text_col), "signatures")
     worded = rows.where("print is not null and id is not null")
@@ -293,6 +355,12 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         tried = add(tried, pairs)
         found = add(found, materialise(verify(pairs, texts, similarity), "links"))
         labels = components(found)
+    if labels is not None:
+        left = materialise(left_over(buckets, labels, past), "left")
+        tokens = prefixes(texts.join(left, "node", "left_semi"), similarity).join(left, "node")
+        pairs = materialise(prefix_pairs(tokens, similarity).join(tried, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            labels = components(add(found, materialise(verify(pairs, texts, similarity), "links")))
     classes = nodes.select("print", "node")
     if labels is not None:
         classes = classes.join(labels, "node", "left").select("print", F.coalesce("label", "node").alias("node"))

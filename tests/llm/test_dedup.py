@@ -63,6 +63,17 @@ def test_hot_groups_and_edge_rows(spark):
     assert near_dedup.near_classes(df.limit(0)).count() == 0
 
 
+def test_near_copies_that_share_a_template(spark):
+    """Many separate pairs in the same buckets: more classes there than a few hubs can tell apart."""
+    template, rows = [f"t{i}" for i in range(200)], []
+    for i in range(100):  # 0.82 within a pair, 0.77 between pairs
+        own = [f"d{i}w{j}" for j in range(30)]
+        rows += [(2 * i, " ".join(template + own)), (2 * i + 1, " ".join(template + own[:8] + [f"n{i}w{j}" for j in range(22)]))]
+    got = near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({c for c in brute_classes(rows).values()}) == 100
+    assert {r.doc_id: r.class_id for r in got} == brute_classes(rows)
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(101, 100), (100, 102), (7, 7)]
     got = dict(map(tuple, near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()))
