@@ -148,3 +148,27 @@ named AS (SELECT *, kind || ':' || CAST(start AS VARCHAR) || ':' || CAST(start +
 SELECT d.doc_id, COUNT(*) FILTER (WHERE kind = 'assign') AS n_assign, COUNT(*) FILTER (WHERE kind = 'access') AS n_access, COUNT(*) FILTER (WHERE kind = 'hex') AS n_hex,
        sha256(COALESCE(string_agg(span, ',' ORDER BY start, ord) FILTER (WHERE ord < 3), '')) AS base_sha256, COALESCE(string_agg(span, ',' ORDER BY start, ord), '') AS spans
 FROM docs d LEFT JOIN named USING (doc_id) GROUP BY d.doc_id"""
+
+ORACLES["op12_phrase_mining"] = r"""
+WITH lowered AS (SELECT COALESCE(lang, 'und') AS lang, translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM lowered),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(SUM(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+runs AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM worded, range(1, 6) AS sizes(m) WHERE len(w) >= m),
+f AS (SELECT lang, m, phrase, COUNT(*) AS c FROM runs GROUP BY lang, m, phrase HAVING COUNT(*) >= 100),
+cuts AS (
+  SELECT lang, m, phrase, c AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head, array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS tail
+  FROM f, range(1, 5) AS places(k) WHERE k < m),
+inside AS (
+  SELECT lang, array_to_string(string_split(phrase, ' ')[s:s + t - 1], ' ') AS phrase, MAX(c) AS longer
+  FROM f, range(2, 5) AS lengths(t), range(1, 5) AS firsts(s) WHERE t < m AND s + t - 1 <= m GROUP BY ALL),
+scored AS (
+  SELECT c.lang, c.phrase, a, x.c AS l, y.c AS r, n, (1000 * CAST(a AS HUGEINT) * n) // (CAST(x.c AS HUGEINT) * y.c) AS score, k
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = head JOIN f y ON y.lang = c.lang AND y.phrase = tail JOIN totals t ON t.lang = c.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT p.*, row_number() OVER (PARTITION BY p.lang ORDER BY score DESC, a DESC, p.phrase) AS rank
+  FROM lowest p LEFT JOIN inside i ON i.lang = p.lang AND i.phrase = p.phrase WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000"""

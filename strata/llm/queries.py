@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, html_extract, mixing, near_dedup, ngram_quality, quality_rules, secrets, suffix_dedup, token_counts, topk_search
+from strata.llm import bpe, html_extract, mixing, near_dedup, ngram_quality, phrases, quality_rules, secrets, suffix_dedup, token_counts, topk_search, toxicity, whitening
 from strata.llm.common import read_table
 from strata.llm.oracles import ORACLES
 
@@ -80,3 +80,18 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
