@@ -28,14 +28,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _collector = threading.local()
 
 
+#: has Spark delete the shuffle files of a query when the query ends
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written meanwhile go with the write, not at some later garbage collection."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
-    Cuts the lineage with plain files that every executor can re-read.
+    Cuts the lineage with plain files that every executor can re-read; the
+    shuffles behind them are no longer needed then and are deleted.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with shuffles_deleted(spark):
+        df.write.parquet(path)
     if getattr(_collector, "paths", None) is not None:
         _collector.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)

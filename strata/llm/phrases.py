@@ -1,22 +1,25 @@
 """Phrase collocations: word sequences that occur far more often together than apart.
 
 Prefix polynomials over the bytes of a batch give the Rabin-Karp fingerprint of
-every word sequence in numpy, without a Python object for any of them.  Two
-passes count the fingerprints of words and of pairs and leave bitmaps of those
-that are frequent; a third counts all sequences whose words and pairs are, each
-with a second fingerprint and a pointer to one occurrence.  The shuffles see
-only fingerprints, summed in the tasks first.  The texts of the frequent ones are
-then cut out at the pointers and compared with both fingerprints.  Where those
-disagree, so that different texts share a fingerprint, its occurrences are
-counted again by their text.
+every word sequence in numpy, without a Python object for any of them.  A first
+pass counts the fingerprints by their highest bits and leaves a bitmap of where
+enough fall to be frequent; a second counts those that lie there with all
+sequences in them, each with a second fingerprint and a pointer to one
+occurrence.  The shuffles see only fingerprints, summed in the tasks first.  The
+texts of the frequent ones are then cut out at the pointers and compared with
+both fingerprints.  Where those disagree, so that different texts share a
+fingerprint, its occurrences are counted again by their text.
 """
 
 from __future__ import annotations
 
+import math
+import zlib
 from typing import Iterator, NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,17 +91,21 @@ class Polynomial:
         return (sums[stop] - sums[start]) * self.inverses[start]
 
 
-def keys_of(prints: np.ndarray, seeds: np.ndarray, n: np.ndarray | int, bits: int) -> np.ndarray:
-    """Fingerprints of ``bits`` bits, told apart by language and number of words."""
-    cut = mix64(prints) >> np.uint64(64 - bits)
-    return mix64(cut ^ mix64(seeds + GOLDEN * np.asarray(n).astype(np.uint64))).view(np.int64)
+def keys_of(prints: np.ndarray, seeds: np.ndarray, bits: int) -> np.ndarray:
+    """Fingerprints of ``bits`` bits, told apart by the seeds of language and number of words."""
+    cut = prints if bits == 64 else mix64(prints) >> np.uint64(64 - bits)
+    return mix64(cut ^ seeds).view(np.int64)
+
+
+def seeds_of(langs: list[str], n: int) -> np.ndarray:
+    """A number for each language and number of words."""
+    return mix64(np.array([hash64(x.encode("utf-8")) for x in langs], np.uint64) + GOLDEN * np.full(1, n, np.uint64))
 
 
 class Chunk(NamedTuple):
     words: Words
     lang: np.ndarray  # of each text, as a number
     langs: list[str]
-    seeds: np.ndarray  # of each language
     mark: np.ndarray  # of each text
 
 
@@ -114,55 +121,76 @@ def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Chunk]:
         for rows in by_volume(range(len(texts)), np.diff(offsets), most):
             low, high = rows[0], rows[-1] + 1
             words = split_words(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
-            yield Chunk(words, lang[low:high], list(langs), np.array([hash64(x.encode("utf-8")) for x in langs], np.uint64), mark[low:high])
+            yield Chunk(words, lang[low:high], list(langs), mark[low:high])
 
 
 def _grouped(keys: np.ndarray, *order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order that brings equal keys together, and the first place of each key in it."""
-    ranks = np.lexsort((*order, keys)) if order else np.argsort(keys, kind="stable")
+    ranks = np.lexsort((*order, keys))
     sorted_keys = keys[ranks]
     return ranks, np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), sorted_keys[1:] != sorted_keys[:-1]]))
 
 
-def count_keys(rows: DataFrame, n: int, known: list, bits: int, most: int, held_rows: int = 1 << 22) -> DataFrame:
-    """``key, count`` of all sequences of ``n`` words (1 or 2); of pairs, those of two words whose keys the bitmap ``known`` holds."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def frequent_slots(rows: DataFrame, least: int, longest: int, bits: int, filter_bits: int, most: int, held_rows: int = 1 << 23) -> np.ndarray:
+    """A bitmap of 2**filter_bits bits over the highest bits of the keys: where ``least`` sequences or more fall.
+
+    Each task counts its keys by slot and ships the counts in pages, so what
+    moves is bounded by the slots and the sequences, a byte or so for each.
+    """
+    page_bits = filter_bits - 10
+    kind = np.uint8 if least < 1 << 8 else np.uint32
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         poly = Polynomial(0)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[np.ndarray] = []
         size = 0
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys, counts = (np.concatenate(x) for x in zip(*held))
-            ranks, first = _grouped(keys)
-            return keys[ranks][first], np.add.reduceat(counts[ranks], first) if len(first) else counts
+        def pages() -> Iterator[pa.RecordBatch]:
+            slots = np.sort(np.concatenate(held))
+            first = np.flatnonzero(np.concatenate([np.ones(1, bool), slots[1:] != slots[:-1]]))
+            counts = np.minimum(np.diff(np.append(first, len(slots))), least).astype(kind)
+            slots = slots[first]
+            edges = np.searchsorted(slots, (np.arange(1025, dtype=np.uint64) << np.uint64(page_bits)).astype(np.uint64))
+            for page in range(1024):
+                low, high = edges[page], edges[page + 1]
+                if low < high:
+                    dense = np.zeros(1 << page_bits, kind)
+                    dense[slots[low:high] & np.uint32((1 << page_bits) - 1)] = counts[low:high]
+                    yield pa.RecordBatch.from_arrays([pa.array([page], pa.int64()), pa.array([zlib.compress(dense.tobytes(), 1)], pa.binary())], names=["page", "counts"])
 
         for chunk in chunks(batches, most):
-            w = chunk.words
-            sums = poly.sums(w.stream)
-            seeds = chunk.seeds[chunk.lang[w.doc]]
-            at = np.arange(len(w.doc))
-            if n == 2:
-                single = may_hold(known[0].value, keys_of(poly.prints(sums, w.start[:-1], w.start[1:] - 1), seeds, 1, bits))
-                at = np.flatnonzero((w.piece[1:] == w.piece[:-1]) & single[1:] & single[:-1])
-            keys, counts = np.unique(keys_of(poly.prints(sums, w.start[at], w.start[at + n] - 1), seeds[at], n, bits), return_counts=True)
-            held.append((keys, counts))
-            size += len(keys)
+            for _, _, keys in runs(chunk, poly, None, longest, bits):
+                held.append((keys.view(np.uint64) >> np.uint64(64 - filter_bits)).astype(np.uint32))
+                size += len(keys)
             if size > held_rows:
-                held = [merged()]
-                size = len(held[0][0])
-                if size > held_rows // 2:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=["key", "count"])
-                    held, size = [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], names=["key", "count"])
+                yield from pages()
+                held, size = [], 0
+        if size:
+            yield from pages()
 
-    return map_arrow(rows, run, "key long, count long").groupBy("key").agg(F.sum("count").alias("count"))
-
-
-def frequent_runs(chunk: Chunk, poly: Polynomial, known: list, longest: int, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """``n, at, sums, key``: the sequences of 1 to ``longest`` words, beginning with word ``at``, whose words and pairs the bitmaps hold."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for page, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                counts = np.frombuffer(zlib.decompress(packed), kind)
+                known = sums.setdefault(page, np.zeros(len(counts), kind))
+                sums[page] = known + np.minimum(counts, least - known)  # never above ``least``
+        for page, counts in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([page]), pa.array([np.packbits(counts >= least).tobytes()], pa.binary())], names=["page", "bitmap"])
+
+    counted = map_arrow(rows, count, "page long, counts binary").repartition("page")
+    out = np.zeros(1 << (filter_bits - 3), np.uint8)
+    width = 1 << (page_bits - 3)
+    for row in materialise(map_arrow(counted, add, "page long, bitmap binary"), "phrase-slots").collect():  # the bitmap, in 1,024 pages
+        out[row.page * width:(row.page + 1) * width] = np.frombuffer(row.bitmap, np.uint8)
+    return out
+
+
+def runs(chunk: Chunk, poly: Polynomial, known: np.ndarray | None, longest: int, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``n, at, key``: the sequences of 1 to ``longest`` words of a piece, beginning with word ``at``; those
+    only that the bitmap ``known`` holds with every sequence in them, where there is one."""
     w = chunk.words
-    sums, seeds = poly.sums(w.stream), chunk.seeds[chunk.lang[w.doc]]
+    sums, lang = poly.sums(w.stream), chunk.lang[w.doc]
     good = np.ones(len(w.doc), bool)
     for n in range(1, longest + 1):
         if n > 1:
@@ -170,18 +198,17 @@ def frequent_runs(chunk: Chunk, poly: Polynomial, known: list, longest: int, bit
         if n == 2:
             good &= w.piece[1:] == w.piece[:-1]
         at = np.flatnonzero(good)
-        keys = keys_of(poly.prints(sums, w.start[at], w.start[at + n] - 1), seeds[at], n, bits)
-        if n < 3:
-            hit = may_hold(known[n - 1].value, keys)
-            good = np.zeros(len(good), bool)
-            good[at[hit]] = True
+        keys = keys_of(poly.prints(sums, w.start[at], w.start[at + n] - 1), seeds_of(chunk.langs, n)[lang[at]], bits)
+        if known is not None:
+            hit = may_hold(known, keys)
+            good[at[~hit]] = False
             at, keys = at[hit], keys[hit]
         if not len(at):
             return
-        yield n, at, sums, keys
+        yield n, at, keys
 
 
-def count_phrases(rows: DataFrame, known: list, longest: int, bits: int, most: int, held_rows: int = 1 << 20) -> DataFrame:
+def count_phrases(rows: DataFrame, known: Broadcast, longest: int, bits: int, most: int, held_rows: int = 1 << 20) -> DataFrame:
     """``lang, n, key, count, low, high, at``: each sequence's occurrences, the least and greatest second
     fingerprint among them, and where one is (mark of the text, first and last byte).  n = 0 has the language's number of words."""
     names = ["lang", "n", "key", "count", "low", "high", "mark", "start", "stop"]
@@ -209,7 +236,7 @@ def count_phrases(rows: DataFrame, known: list, longest: int, bits: int, most: i
             w, langs = chunk.words, chunk.langs
             second = other.sums(w.stream)
             parts = []
-            for n, at, _, keys in frequent_runs(chunk, poly, known, longest, bits):
+            for n, at, keys in runs(chunk, poly, known.value, longest, bits):
                 last = at + n - 1
                 check = other.prints(second, w.start[at], w.start[at + n] - 1).view(np.int64)
                 doc = w.doc[at]
@@ -217,7 +244,7 @@ def count_phrases(rows: DataFrame, known: list, longest: int, bits: int, most: i
                 parts.append((chunk.lang[doc], np.full(len(at), n), keys, np.ones(len(at), np.int64), check, check, chunk.mark[doc], w.place[at], stop))
             found, totals = np.unique(chunk.lang[w.doc], return_counts=True)
             none = np.zeros(len(found), np.int64)
-            parts.append((found, none, chunk.seeds[found].view(np.int64), totals, none, none, none, none, none))
+            parts.append((found, none, seeds_of(langs, 0)[found].view(np.int64), totals, none, none, none, none, none))
             held.append(merged(parts))
             size += len(held[-1][0])
             if size > held_rows:
@@ -254,7 +281,7 @@ def cut_out(rows: DataFrame, frequent: DataFrame, bits: int, filter_bits: int) -
                 whole = np.bincount(w.doc, minlength=len(cuts)) == n
                 last = np.minimum(first + n, len(w.start) - 1)
                 key, check = (q.prints(q.sums(w.stream), w.start[first], w.start[last] - 1) for q in polys)
-                key = keys_of(key, np.array([hash64(p["lang"].encode("utf-8")) for p in phrases], np.uint64), n, bits)
+                key = keys_of(key, np.array([seeds_of([p["lang"]], p["n"])[0] for p in phrases], np.uint64), bits)
                 low, high, meant = (np.array([p[c] for p in phrases], np.int64) for c in ("low", "high", "key"))
                 same = whole & (low == high) & (key == meant) & (check.view(np.int64) == low)
                 stream = w.stream.tobytes()
@@ -275,7 +302,7 @@ def cut_out(rows: DataFrame, frequent: DataFrame, bits: int, filter_bits: int) -
     return map_arrow(joined, run, "lang string, n long, key long, count long, phrase string")
 
 
-def count_again(rows: DataFrame, keys: DataFrame, known: list, longest: int, bits: int, most: int, filter_bits: int) -> DataFrame:
+def count_again(rows: DataFrame, keys: DataFrame, known: Broadcast, longest: int, bits: int, most: int, filter_bits: int) -> DataFrame:
     """``lang, n, phrase, count`` by text, of the sequences whose key the bitmap of ``keys`` holds."""
     mixed = rows.sparkSession.sparkContext.broadcast(key_filter(keys, min(filter_bits, 24)))
 
@@ -285,7 +312,7 @@ def count_again(rows: DataFrame, keys: DataFrame, known: list, longest: int, bit
             w = chunk.words
             counts: dict[tuple[int, int, bytes], int] = {}
             stream = w.stream.tobytes()
-            for n, at, _, found in frequent_runs(chunk, poly, known, longest, bits):
+            for n, at, found in runs(chunk, poly, known.value, longest, bits):
                 at = at[may_hold(mixed.value, found)]
                 for lang, a, b in zip(chunk.lang[w.doc[at]].tolist(), w.start[at].tolist(), (w.start[at + n] - 1).tolist()):
                     phrase = lang, n, stream[a:b]
@@ -300,23 +327,23 @@ def count_again(rows: DataFrame, keys: DataFrame, known: list, longest: int, bit
 
 
 def frequent_phrases(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100, longest: int = 5,
-                     bits: int = 64, filter_bits: int = 26, group_bytes: int = 1 << 21) -> tuple[DataFrame, DataFrame]:
+                     bits: int = 64, filter_bits: int | None = None, group_bytes: int = 1 << 21) -> tuple[DataFrame, DataFrame]:
     """``lang, n, phrase, count`` of all sequences of up to ``longest`` words with ``least`` occurrences or more, and
     ``lang, total``: the words of each language.
 
-    The bitmaps have 2**filter_bits bits; where they fill up, more sequences are
-    counted in vain and the result stays the same.  ``bits`` cuts the
+    The bitmap has 2**filter_bits bits, by the size of the texts (2**29 at most,
+    64 MB); where it fills up, more sequences are counted in vain and the result
+    stays the same.  ``bits`` cuts the
     fingerprints short (for tests of what collides).
     """
     text, lang = as_text(text_col), F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     rows = df.select(text.alias("text"), lang.alias("lang"), row_mark(text_col, lang_col).alias("mark"))
-    sc = df.sparkSession.sparkContext
-    known: list = []
-    for n in (1, 2):
-        keys = materialise(count_keys(rows, n, known, bits, group_bytes).where(F.col("count") >= least).select("key"), f"phrase-keys-{n}")
-        known.append(sc.broadcast(key_filter(keys, filter_bits)))
+    if filter_bits is None:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # slots for an eighth of ``least`` sequences each
+        filter_bits = min(max(math.ceil(math.log2(max(size / 6 * longest / (least / 8), 1))), 20), 29)
+    known = df.sparkSession.sparkContext.broadcast(frequent_slots(rows, least, longest, bits, filter_bits, group_bytes))
     counted = materialise(count_phrases(rows, known, longest, bits, group_bytes).where((F.col("count") >= least) | (F.col("n") == 0)), "phrase-counts")
-    totals = counted.where("n = 0").select("lang", F.col("count").alias("total"))
+    totals = materialise(counted.where("n = 0").select("lang", F.col("count").alias("total")), "phrase-totals")
     cut = materialise(cut_out(rows, counted.where("n > 0"), bits, filter_bits), "phrase-texts")
     phrases = cut.where("phrase is not null").select("lang", "n", "phrase", "count")
     unsure = counted.where("n > 0").select("key").join(cut.where("phrase is not null").select("key"), "key", "left_anti")
