@@ -124,64 +124,60 @@ def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Chunk]:
             yield Chunk(words, lang[low:high], list(langs), mark[low:high])
 
 
-def _grouped(keys: np.ndarray, *order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order that brings equal keys together, and the first place of each key in it."""
-    ranks = np.lexsort((*order, keys))
-    sorted_keys = keys[ranks]
-    return ranks, np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), sorted_keys[1:] != sorted_keys[:-1]]))
-
-
-def frequent_slots(rows: DataFrame, least: int, longest: int, bits: int, filter_bits: int, most: int, held_rows: int = 1 << 23) -> np.ndarray:
+def frequent_slots(rows: DataFrame, least: int, longest: int, bits: int, filter_bits: int, most: int, held_rows: int = 1 << 24) -> np.ndarray:
     """A bitmap of 2**filter_bits bits over the highest bits of the keys: where ``least`` sequences or more fall.
 
-    Each task counts its keys by slot and ships the counts in pages, so what
-    moves is bounded by the slots and the sequences, a byte or so for each.
+    Each task counts its keys by slot and ships the counts in pages of 65,536
+    slots, as compressed distances: about a byte for each sequence at most.
     """
-    page_bits = filter_bits - 10
     kind = np.uint8 if least < 1 << 8 else np.uint32
+    page_bits = min(filter_bits, 16)
+    pages = 1 << (filter_bits - page_bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         poly = Polynomial(0)
         held: list[np.ndarray] = []
         size = 0
 
-        def pages() -> Iterator[pa.RecordBatch]:
-            slots = np.sort(np.concatenate(held))
+        def packed() -> Iterator[pa.RecordBatch]:
+            slots = np.concatenate(held)
+            held.clear()
+            slots.sort()
             first = np.flatnonzero(np.concatenate([np.ones(1, bool), slots[1:] != slots[:-1]]))
             counts = np.minimum(np.diff(np.append(first, len(slots))), least).astype(kind)
             slots = slots[first]
-            edges = np.searchsorted(slots, (np.arange(1025, dtype=np.uint64) << np.uint64(page_bits)).astype(np.uint64))
-            for page in range(1024):
-                low, high = edges[page], edges[page + 1]
-                if low < high:
-                    dense = np.zeros(1 << page_bits, kind)
-                    dense[slots[low:high] & np.uint32((1 << page_bits) - 1)] = counts[low:high]
-                    yield pa.RecordBatch.from_arrays([pa.array([page], pa.int64()), pa.array([zlib.compress(dense.tobytes(), 1)], pa.binary())], names=["page", "counts"])
+            edges = np.searchsorted(slots, np.arange(pages, dtype=np.uint32) << np.uint32(page_bits)).tolist() + [len(slots)]
+            for at in range(0, pages, 256):
+                some = [p for p in range(at, min(at + 256, pages)) if edges[p] < edges[p + 1]]
+                parts = [(slots[edges[p]:edges[p + 1]] & np.uint32((1 << page_bits) - 1), counts[edges[p]:edges[p + 1]]) for p in some]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *(pa.array([zlib.compress(x.tobytes(), 1) for x in column], pa.binary()) for column in (
+                    [np.diff(low, prepend=np.uint32(0)).astype(np.uint16) for low, _ in parts], [c for _, c in parts]))], names=["page", "gaps", "counts"])
 
         for chunk in chunks(batches, most):
             for _, _, keys in runs(chunk, poly, None, longest, bits):
                 held.append((keys.view(np.uint64) >> np.uint64(64 - filter_bits)).astype(np.uint32))
                 size += len(keys)
             if size > held_rows:
-                yield from pages()
-                held, size = [], 0
+                yield from packed()
+                size = 0
         if size:
-            yield from pages()
+            yield from packed()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for page, packed in zip(*(c.to_pylist() for c in batch.columns)):
-                counts = np.frombuffer(zlib.decompress(packed), kind)
-                known = sums.setdefault(page, np.zeros(len(counts), kind))
-                sums[page] = known + np.minimum(counts, least - known)  # never above ``least``
+            for page, gaps, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                slots = np.cumsum(np.frombuffer(zlib.decompress(gaps), np.uint16), dtype=np.int64)
+                counts = np.frombuffer(zlib.decompress(counts), kind)
+                known = sums.setdefault(page, np.zeros(1 << page_bits, kind))
+                known[slots] += np.minimum(counts, least - known[slots])  # never above ``least``
         for page, counts in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([page]), pa.array([np.packbits(counts >= least).tobytes()], pa.binary())], names=["page", "bitmap"])
 
-    counted = map_arrow(rows, count, "page long, counts binary").repartition("page")
+    counted = map_arrow(rows, count, "page long, gaps binary, counts binary").repartition("page")
     out = np.zeros(1 << (filter_bits - 3), np.uint8)
     width = 1 << (page_bits - 3)
-    for row in materialise(map_arrow(counted, add, "page long, bitmap binary"), "phrase-slots").collect():  # the bitmap, in 1,024 pages
+    for row in materialise(map_arrow(counted, add, "page long, bitmap binary"), "phrase-slots").toLocalIterator():  # the bitmap, a page a row
         out[row.page * width:(row.page + 1) * width] = np.frombuffer(row.bitmap, np.uint8)
     return out
 
@@ -208,103 +204,130 @@ def runs(chunk: Chunk, poly: Polynomial, known: np.ndarray | None, longest: int,
         yield n, at, keys
 
 
-def count_phrases(rows: DataFrame, known: Broadcast, longest: int, bits: int, most: int, held_rows: int = 1 << 20) -> DataFrame:
-    """``lang, n, key, count, low, high, at``: each sequence's occurrences, the least and greatest second
-    fingerprint among them, and where one is (mark of the text, first and last byte).  n = 0 has the language's number of words."""
-    names = ["lang", "n", "key", "count", "low", "high", "mark", "start", "stop"]
+def count_phrases(rows: DataFrame, known: Broadcast, least: int, longest: int, bits: int, most: int, held_rows: int = 1 << 20) -> DataFrame:
+    """``lang, n, key, count, low, high, mark, start, stop`` of the sequences with ``least`` occurrences or more: the least and greatest
+    second fingerprint among them, and where one is (mark of the text, first and last byte).
+
+    Rows of n = 0 have the numbers of a language's words, to be summed; only they name it.
+    Each task sums what it has by key and ships it in pages of the key space.
+    """
+    pages = 4096
+    names = ["n", "key", "count", "low", "high", "mark", "start", "stop"]
+
+    def summed(parts: list[np.ndarray]) -> np.ndarray:
+        """A column for each sequence, ``names`` as rows, by key; the pointer is that of the smallest mark."""
+        x = np.concatenate(parts, axis=1)
+        _, key, count, low, high, mark, start, _ = x
+        order = np.lexsort((start, mark, key))
+        keys = key[order]
+        first = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
+        out = x[:, order[first]]
+        if len(first):
+            out[2], out[3], out[4] = np.add.reduceat(count[order], first), np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         poly, other = Polynomial(0), Polynomial(1)
-        held: list[tuple[np.ndarray, ...]] = []
-        langs: list[str] = []
+        held: list[np.ndarray] = []
+        totals: dict[str, int] = {}
         size = 0
 
-        def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-            lang, n, key, count, low, high, mark, start, stop = (np.concatenate(x) for x in zip(*parts))
-            ranks, first = _grouped(key, start, mark)
-            if not len(first):
-                return lang, n, key, count, low, high, mark, start, stop
-            pick = ranks[first]
-            return (lang[pick], n[pick], key[pick], np.add.reduceat(count[ranks], first), np.minimum.reduceat(low[ranks], first),
-                    np.maximum.reduceat(high[ranks], first), mark[pick], start[pick], stop[pick])
-
-        def batch_of(columns: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-            lang = pa.array(langs, pa.string()).take(pa.array(columns[0]))
-            return pa.RecordBatch.from_arrays([lang, *(pa.array(x) for x in columns[1:])], names=names)
+        def packed(x: np.ndarray) -> Iterator[pa.RecordBatch]:
+            edges = np.searchsorted(x[1], (np.arange(pages, dtype=np.int64) - pages // 2) << 52).tolist() + [x.shape[1]]
+            some = [p for p in range(pages) if edges[p] < edges[p + 1]]
+            for at in range(0, len(some), 256):
+                group = some[at:at + 256]
+                yield pa.RecordBatch.from_arrays([pa.array(group, pa.int64()), pa.nulls(len(group), pa.string()), pa.nulls(len(group), pa.int64()),
+                                                  pa.array([x[:, edges[p]:edges[p + 1]].tobytes() for p in group], pa.binary())], names=["page", "lang", "total", "data"])
 
         for chunk in chunks(batches, most):
-            w, langs = chunk.words, chunk.langs
+            w = chunk.words
             second = other.sums(w.stream)
-            parts = []
             for n, at, keys in runs(chunk, poly, known.value, longest, bits):
                 last = at + n - 1
                 check = other.prints(second, w.start[at], w.start[at + n] - 1).view(np.int64)
-                doc = w.doc[at]
                 stop = w.place[last] + w.start[last + 1] - w.start[last] - 1
-                parts.append((chunk.lang[doc], np.full(len(at), n), keys, np.ones(len(at), np.int64), check, check, chunk.mark[doc], w.place[at], stop))
-            found, totals = np.unique(chunk.lang[w.doc], return_counts=True)
-            none = np.zeros(len(found), np.int64)
-            parts.append((found, none, seeds_of(langs, 0)[found].view(np.int64), totals, none, none, none, none, none))
-            held.append(merged(parts))
-            size += len(held[-1][0])
+                one = np.ones(len(at), np.int64)
+                held.append(summed([np.stack([one * n, keys, one, check, check, chunk.mark[w.doc[at]], w.place[at], stop])]))
+                size += held[-1].shape[1]
+            for lang, words in zip(*(x.tolist() for x in np.unique(chunk.lang[w.doc], return_counts=True))):
+                totals[chunk.langs[lang]] = totals.get(chunk.langs[lang], 0) + words
             if size > held_rows:
-                held = [merged(held)]
-                size = len(held[0][0])
+                held = [summed(held)]
+                size = held[0].shape[1]
                 if size > held_rows // 2:
-                    yield batch_of(held[0])
+                    yield from packed(held[0])
                     held, size = [], 0
         if held:
-            yield batch_of(merged(held))
+            yield from packed(summed(held))
+        if totals:
+            yield pa.RecordBatch.from_arrays([pa.array([-1] * len(totals), pa.int64()), pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64()),
+                                              pa.nulls(len(totals), pa.binary())], names=["page", "lang", "total", "data"])
 
-    counted = map_arrow(rows, run, "lang string, n long, key long, count long, low long, high long, mark long, start long, stop long")
-    return counted.groupBy("lang", "n", "key").agg(F.sum("count").alias("count"), F.min("low").alias("low"), F.max("high").alias("high"),
-                                                   F.min(F.struct("mark", "start", "stop")).alias("at"))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        page, held = None, []
+
+        def frequent() -> Iterator[pa.RecordBatch]:
+            if held:
+                x = summed(held)
+                x = x[:, x[2] >= least]
+                yield pa.RecordBatch.from_arrays([pa.nulls(x.shape[1], pa.string()), *map(pa.array, x)], names=["lang", *names])
+
+        for batch in batches:
+            for at, lang, total, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if at == -1:
+                    yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), *(pa.array([total if c == "count" else 0], pa.int64()) for c in names)], names=["lang", *names])
+                    continue
+                if at != page:
+                    yield from frequent()
+                    page, held = at, []
+                held.append(np.frombuffer(data, np.int64).reshape(len(names), -1))
+        yield from frequent()
+
+    counted = map_arrow(rows, run, "page long, lang string, total long, data binary").repartition("page").sortWithinPartitions("page")
+    return map_arrow(counted, add, "lang string, " + ", ".join(f"{c} long" for c in names))
 
 
-def cut_out(rows: DataFrame, frequent: DataFrame, bits: int, filter_bits: int) -> DataFrame:
+def cut_out(rows: DataFrame, frequent: DataFrame, bits: int) -> DataFrame:
     """``lang, n, key, count, phrase``: the text at each pointer; null where it isn't that of all occurrences.
 
     The smallest mark is the pointer, so the pointers of phrases with many
     occurrences meet in few documents, and only those move.
     """
-    columns = ["lang", "n", "key", "count", "low", "high", "start", "stop"]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         polys = Polynomial(0), Polynomial(1)
         for batch in batches:
-            for text, phrases in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, lang, phrases in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = text.encode("utf-8")
                 cuts = [raw[p["start"]:p["stop"]] for p in phrases]
                 w = split_words(np.frombuffer(b"".join(cuts), np.uint8), np.concatenate([[0], np.cumsum([len(c) for c in cuts])]))
-                n = np.array([p["n"] for p in phrases])
+                n, count, low, high, meant = (np.array([p[c] for p in phrases], np.int64) for c in ("n", "count", "low", "high", "key"))
                 first = np.searchsorted(w.doc, np.arange(len(cuts)))
                 whole = np.bincount(w.doc, minlength=len(cuts)) == n
                 last = np.minimum(first + n, len(w.start) - 1)
                 key, check = (q.prints(q.sums(w.stream), w.start[first], w.start[last] - 1) for q in polys)
-                key = keys_of(key, np.array([seeds_of([p["lang"]], p["n"])[0] for p in phrases], np.uint64), bits)
-                low, high, meant = (np.array([p[c] for p in phrases], np.int64) for c in ("low", "high", "key"))
-                same = whole & (low == high) & (key == meant) & (check.view(np.int64) == low)
+                seeds = np.concatenate([seeds_of([lang], k) for k in range(int(n.max()) + 1)])
+                same = whole & (low == high) & (keys_of(key, seeds[n], bits) == meant) & (check.view(np.int64) == low)
                 stream = w.stream.tobytes()
                 found = [stream[a:b - 1].decode("utf-8") if ok else None for a, b, ok in zip(w.start[first].tolist(), w.start[last].tolist(), same.tolist())]
-                yield pa.RecordBatch.from_arrays([*(pa.array([p[c] for p in phrases], pa.string() if c == "lang" else pa.int64()) for c in columns[:4]), pa.array(found, pa.string())],
-                                                 names=[*columns[:4], "phrase"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *map(pa.array, (n, meant, count)), pa.array(found, pa.string())], names=["lang", "n", "key", "count", "phrase"])
 
-    pointed = frequent.select(F.col("at.mark").alias("mark"), F.struct(*columns[:6], "at.start", "at.stop").alias("phrase"))
+    pointed = frequent.select("mark", F.struct("n", "key", "count", "low", "high", "start", "stop").alias("phrase"))
     pointed = materialise(pointed.groupBy("mark").agg(F.collect_list("phrase").alias("phrases")), "phrase-places")  # no longer than their text
-    marks = rows.sparkSession.sparkContext.broadcast(key_filter(pointed.select(F.xxhash64("mark").alias("key")), min(filter_bits, 24)))
+    marks = rows.sparkSession.sparkContext.broadcast(key_filter(pointed.select(F.xxhash64("mark").alias("key")), 24))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(may_hold(marks.value, batch.column(2).to_numpy()))).select([0, 1])
+            yield batch.filter(pa.array(may_hold(marks.value, batch.column(3).to_numpy()))).select([0, 1, 2])
 
-    holders = map_arrow(rows.select("text", "mark", F.xxhash64("mark").alias("key")), some, "text string, mark long")
-    joined = holders.join(pointed, "mark").dropDuplicates(["mark"]).select("text", "phrases")
+    holders = map_arrow(rows.select("text", "lang", "mark", F.xxhash64("mark").alias("key")), some, "text string, lang string, mark long")
+    joined = holders.join(pointed, "mark").dropDuplicates(["mark"]).select("text", "lang", "phrases")
     return map_arrow(joined, run, "lang string, n long, key long, count long, phrase string")
 
 
-def count_again(rows: DataFrame, keys: DataFrame, known: Broadcast, longest: int, bits: int, most: int, filter_bits: int) -> DataFrame:
+def count_again(rows: DataFrame, keys: DataFrame, known: Broadcast, longest: int, bits: int, most: int) -> DataFrame:
     """``lang, n, phrase, count`` by text, of the sequences whose key the bitmap of ``keys`` holds."""
-    mixed = rows.sparkSession.sparkContext.broadcast(key_filter(keys, min(filter_bits, 24)))
+    mixed = rows.sparkSession.sparkContext.broadcast(key_filter(keys, 24))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         poly = Polynomial(0)
@@ -327,29 +350,29 @@ def count_again(rows: DataFrame, keys: DataFrame, known: Broadcast, longest: int
 
 
 def frequent_phrases(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100, longest: int = 5,
-                     bits: int = 64, filter_bits: int | None = None, group_bytes: int = 1 << 21) -> tuple[DataFrame, DataFrame]:
+                     bits: int = 64, filter_bits: int | None = None, group_bytes: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
     """``lang, n, phrase, count`` of all sequences of up to ``longest`` words with ``least`` occurrences or more, and
     ``lang, total``: the words of each language.
 
-    The bitmap has 2**filter_bits bits, by the size of the texts (2**29 at most,
-    64 MB); where it fills up, more sequences are counted in vain and the result
+    The bitmap has 2**filter_bits bits, by the size of the texts (2**30 at most,
+    128 MB); where it fills up, more sequences are counted in vain and the result
     stays the same.  ``bits`` cuts the
     fingerprints short (for tests of what collides).
     """
     text, lang = as_text(text_col), F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     rows = df.select(text.alias("text"), lang.alias("lang"), row_mark(text_col, lang_col).alias("mark"))
     if filter_bits is None:
-        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # slots for an eighth of ``least`` sequences each
-        filter_bits = min(max(math.ceil(math.log2(max(size / 6 * longest / (least / 8), 1))), 20), 29)
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # few sequences a slot, against ``least``
+        filter_bits = min(max(math.ceil(math.log2(max(size / 6 * longest / (least / 64), 1))), 20), 30)
     known = df.sparkSession.sparkContext.broadcast(frequent_slots(rows, least, longest, bits, filter_bits, group_bytes))
-    counted = materialise(count_phrases(rows, known, longest, bits, group_bytes).where((F.col("count") >= least) | (F.col("n") == 0)), "phrase-counts")
-    totals = materialise(counted.where("n = 0").select("lang", F.col("count").alias("total")), "phrase-totals")
-    cut = materialise(cut_out(rows, counted.where("n > 0"), bits, filter_bits), "phrase-texts")
+    counted = materialise(count_phrases(rows, known, least, longest, bits, group_bytes), "phrase-counts")
+    totals = materialise(counted.where("n = 0").groupBy("lang").agg(F.sum("count").alias("total")), "phrase-totals")
+    cut = materialise(cut_out(rows, counted.where("n > 0"), bits), "phrase-texts")
     phrases = cut.where("phrase is not null").select("lang", "n", "phrase", "count")
     unsure = counted.where("n > 0").select("key").join(cut.where("phrase is not null").select("key"), "key", "left_anti")
     if not unsure.isEmpty():
         unsure = materialise(unsure, "phrase-collisions")
-        again = count_again(rows, unsure, known, longest, bits, group_bytes, filter_bits).where(F.col("count") >= least)
+        again = count_again(rows, unsure, known, longest, bits, group_bytes).where(F.col("count") >= least)
         # the bitmap may hold keys besides those that collide, whose phrases are there already
         again = materialise(again, "phrase-recounts").join(phrases.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
         phrases = phrases.unionByName(again)
