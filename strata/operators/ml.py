@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import month_number_or_january, month_start
 from strata.functions.numeric import money_avg, money_sum, round_half_up, safe_div
+from strata.session import scratch_path
 
 # Clustering features, in vector order.
 CLUSTER_FEATURES = ["total_sales", "total_qty", "transaction_count", "avg_transaction_value"]
@@ -25,6 +26,8 @@ FORECAST_FEATURES = [
     "year", "month", "quarter", "is_q4", "month_sin", "month_cos",
     "lag_1", "lag_2", "lag_3", "moving_avg_3", "moving_avg_6", "total_quantity", "avg_price",
 ]
+#: the same where no feature knows the month that is to be forecast
+LEAK_FREE_FEATURES = [{"total_quantity": "prior_quantity", "avg_price": "prior_price"}.get(c, c) for c in FORECAST_FEATURES]
 # Forecast series key and test window (months before the last month).
 FORECAST_KEYS = ("product_name", "country")
 TEST_MONTHS_BACK = 6
@@ -121,20 +124,25 @@ def label_customers(predictions: DataFrame, labels: DataFrame) -> DataFrame:
         F.current_timestamp().alias("created_at"))
 
 
-#: partitions of a training frame; a parameter and not the number of cores, because MLlib's random
-#: starts and split candidates depend on it: the same data give the same model on any cluster
-TRAINING_PARTITIONS = 32
+#: rows that a partition of a training frame holds at most, about
+ROWS_PER_PARTITION = 1 << 17
 
 
-def training_frame(df: DataFrame, keys: tuple[str, ...], partitions: int = TRAINING_PARTITIONS) -> DataFrame:
-    """Rows placed by the hash of ``keys[0]`` and sorted by all keys: the same frame for every cluster size.
+def training_frame(df: DataFrame, keys: tuple[str, ...], rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Rows placed by the hash of ``keys`` and sorted by them, in partitions by the number of rows.
 
-    A fit is hundreds of small jobs with a task a partition.  Set ``partitions``
-    so that one holds some hundred thousand rows; the frames have a row for each
-    customer, or each product, country and month, and can be nearly as long as
-    the facts.
+    MLlib's random starts and split candidates depend on the partitions, so their
+    number comes from the rows alone, a power of two: the same data give the same
+    model on any cluster, and a fit of hundreds of small jobs has no more tasks
+    than the rows need.  The frame is written first, which gives the number of
+    rows from the files' footers and lets a lost executor read them again.
     """
-    return df.repartition(partitions, keys[0]).sortWithinPartitions(*keys)
+    spark = df.sparkSession
+    path = scratch_path(spark, "training-frame")
+    df.write.parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path)
+    partitions = 1 << max(0, math.ceil(math.log2(max(rows.count(), 1) / rows_per_partition)))
+    return rows.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
 def customer_segments(silver_sales: DataFrame, k: int = 3, seed: int = 42,
@@ -183,22 +191,47 @@ def lag_features(monthly: DataFrame, keys: tuple[str, ...] = FORECAST_KEYS) -> D
     return monthly.withColumns({f"lag_{n}": F.lag("total_sales", n).over(w) for n in (1, 2, 3)})
 
 
-def moving_averages(monthly: DataFrame, keys: tuple[str, ...] = FORECAST_KEYS) -> DataFrame:
-    """Trailing 3- and 6-row means including the current month."""
-    w = _series(keys)
-    return monthly.withColumns({
-        "moving_avg_3": F.avg("total_sales").over(w.rowsBetween(-2, 0)),
-        "moving_avg_6": F.avg("total_sales").over(w.rowsBetween(-5, 0)),
-    })
+def fill_gaps(monthly: DataFrame, keys: tuple[str, ...] = FORECAST_KEYS) -> DataFrame:
+    """Every month of each series from its first to its last; ``filled`` marks those without sales.
 
-
-def forecast_features(monthly: DataFrame, keys: tuple[str, ...] = FORECAST_KEYS) -> DataFrame:
+    A month without sales has totals and counts of 0 and the average price of the
+    month before it.  Lags and averages over rows are then over months.  Rows
+    without a month have no place in the calendar and are left out.  The spine
+    grows with the months that a series spans, not with its sales.
+    """
+    spine = (monthly.groupBy(*keys).agg(F.min("year_month").alias("_first"), F.max("year_month").alias("_last")).where("_first is not null")
+             .select(*keys, F.explode(F.expr("sequence(_first, _last, interval 1 month)")).alias("year_month")))
+    known = monthly.select(*[F.col(c).alias(f"_{c}") for c in (*keys, "year_month")], *[c for c in monthly.columns if c not in (*keys, "year_month", "year", "month")],
+                           F.lit(False).alias("_observed"))
+    same = F.lit(True)
+    for c in (*keys, "year_month"):
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    df = spine.join(known, same, "left")
+    return df.select(*keys, F.year("year_month").alias("year"), F.month("year_month").alias("month"), "year_month",
+                     F.coalesce("total_sales", F.lit(0.0)).alias("total_sales"), F.coalesce("total_quantity", F.lit(0)).cast("bigint").alias("total_quantity"),
+                     F.coalesce("num_transactions", F.lit(0)).cast("bigint").alias("num_transactions"),
+                     F.last("avg_price", ignorenulls=True).over(_series(keys)).alias("avg_price"), F.col("_observed").isNull().alias("filled"))
+
+
+def moving_averages(monthly: DataFrame, keys: tuple[str, ...] = FORECAST_KEYS, leak_free: bool = False) -> DataFrame:
+    """Trailing 3- and 6-row means including the current month, or, ``leak_free``, those of the rows before it."""
+    w, end = _series(keys), -1 if leak_free else 0
+    return monthly.withColumns({f"moving_avg_{n}": F.avg("total_sales").over(w.rowsBetween(end - n + 1, end)) for n in (3, 6)})
+
+
+def forecast_features(monthly: DataFrame, keys: tuple[str, ...] = FORECAST_KEYS, leak_free: bool = False) -> DataFrame:
     """Lags, moving averages and seasonality; rows without a full 3-month lag are dropped.
 
-    All windows share one partitioning and ordering, so Spark plans a single
-    exchange and sort for them.
+    ``leak_free`` ends the averages before the current month and adds the
+    quantity and price of the month before (``LEAK_FREE_FEATURES``), so that no
+    feature knows anything of the month to be forecast.  All windows share one
+    partitioning and ordering, so Spark plans a single exchange and sort for
+    them.
     """
-    df = moving_averages(lag_features(monthly, keys), keys)
+    df = moving_averages(lag_features(monthly, keys), keys, leak_free)
+    if leak_free:
+        w = _series(keys)
+        df = df.withColumns({"prior_quantity": F.lag("total_quantity").over(w), "prior_price": F.lag("avg_price").over(w)})
     angle = 2 * math.pi * F.col("month") / 12
     df = df.withColumns({
         "quarter": F.quarter("year_month"),
@@ -226,11 +259,11 @@ def naive_forecast(split: DataFrame) -> DataFrame:
     return split.where(F.col("split") == "test").withColumn("predicted_sales", F.col("lag_1"))
 
 
-def fit_gbt(train: DataFrame, seed: int = 42):
+def fit_gbt(train: DataFrame, seed: int = 42, features: list[str] = FORECAST_FEATURES):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
-    assembler = VectorAssembler(inputCols=FORECAST_FEATURES, outputCol="features", handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
     gbt = GBTRegressor(featuresCol="features", labelCol="total_sales", predictionCol="predicted_sales",
                        maxIter=50, maxDepth=5, maxBins=64, seed=seed)
     return Pipeline(stages=[assembler, gbt]).fit(train)
@@ -272,16 +305,19 @@ def forecast_output(pred: DataFrame, metrics: DataFrame, model_type: str) -> Dat
 
 
 def demand_forecast(silver_sales: DataFrame, keys: tuple[str, ...] = FORECAST_KEYS,
-                    cached: list[DataFrame] | None = None) -> DataFrame:
+                    cached: list[DataFrame] | None = None, filled: bool = False, leak_free: bool = False) -> DataFrame:
     """GBT path: monthly series -> features -> temporal split -> fit -> predictions + metrics.
 
     ``cached`` receives the frame cached for the fit; unpersist it once the result is written.
+    ``filled`` takes the series with ``fill_gaps``, ``leak_free`` the features that
+    know nothing of the month to be forecast.
     """
-    split = training_frame(split_train_test(forecast_features(monthly_demand(silver_sales, keys), keys)),
-                           (*keys, "year_month")).cache()
+    monthly = monthly_demand(silver_sales, keys)
+    monthly = fill_gaps(monthly, keys) if filled else monthly
+    split = training_frame(split_train_test(forecast_features(monthly, keys, leak_free)), (*keys, "year_month")).cache()
     if cached is not None:
         cached.append(split)
-    model = fit_gbt(split.where(F.col("split") == "train"))
+    model = fit_gbt(split.where(F.col("split") == "train"), features=LEAK_FREE_FEATURES if leak_free else FORECAST_FEATURES)
     pred = model.transform(split.where(F.col("split") == "test")).drop("features")
     return forecast_output(pred, regression_metrics(pred), "GBTRegressor")
 

@@ -151,3 +151,22 @@ def shipment_quality(silver_shipments: DataFrame) -> DataFrame:
         "pct_valid_scheduled": round_half_up(F.col("valid_scheduled") * 100.0 / total, 1),
         "pct_valid_delivered": round_half_up(F.col("valid_delivered") * 100.0 / total, 1),
     })
+
+
+def lookup_fanout(facts: DataFrame, fact: str, dim: DataFrame, dimension: str, names: dict[str, str]) -> DataFrame:
+    """One row: ``fact, dimension, repeated_names, extra_facts``.
+
+    Facts look their keys up by name (``names``: dimension column -> fact column).
+    A name with several rows in the dimension multiplies its facts: counted here
+    before the join, from one row for each name on both sides, are such names
+    and the fact rows that the join would add.  NULL names match nothing.
+    """
+    known = F.lit(True)
+    for c in names:
+        known = known & F.col(c).isNotNull()
+    repeated = dim.where(known).groupBy(*names).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    used = facts.select(*[F.col(f).alias(c) for c, f in names.items()]).where(known).groupBy(*names).agg(F.count(F.lit(1)).alias("_facts"))
+    sums = repeated.join(used, list(names), "left").agg(
+        F.count(F.lit(1)).alias("repeated_names"),
+        F.coalesce(F.sum((F.col("_rows") - 1) * F.col("_facts")), F.lit(0)).cast("bigint").alias("extra_facts"))
+    return sums.select(F.lit(fact).alias("fact"), F.lit(dimension).alias("dimension"), "repeated_names", "extra_facts")

@@ -17,14 +17,16 @@ import threading
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from strata.operators import gold, marts, silver
-from strata.schemas import ORDER_EVENT_SCHEMA, SILVER_ORDERS_SCHEMA
+from strata.operators import gold, marts, quality, silver
+from strata.schemas import ORDER_EVENT_SCHEMA, SALES_CSV_SCHEMA, SILVER_ORDERS_SCHEMA, all_strings
 from strata.session import scratch_path
 from strata.sources import adapter
 from strata.sources.sinks import register_external_table, write_csv
-from strata.sources.tables import TABLES, Tables, load_safe, read_csv
-from strata.streaming.orders import run_orders_to_bronze
+from strata.sources.tables import TABLES, Tables, load_safe
+from strata.streaming.feeds import run_csv_to_bronze
+from strata.streaming.orders import run_orders_once_each, run_orders_to_bronze, run_orders_with_rejects
 
 _LOCK = threading.Lock()
 _INSTANCES: dict[tuple[str, str], "Lakehouse"] = {}
@@ -101,9 +103,17 @@ class Lakehouse:
     def order_events(self) -> str:
         return self._landed("landing_orders", lambda path: adapter.order_event_lines(self.landing_lines()).write.text(path))
 
+    def _csv_bronze(self, name: str, landing: Callable[[], str], schema: StructType, to_bronze: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """A Bronze table that takes the CSV files its checkpoint hasn't seen."""
+        def drain(path: str) -> None:
+            run_csv_to_bronze(self.spark, landing(), path, self.path(f"{name}_checkpoint"), schema, to_bronze)
+
+        columns = to_bronze(self.spark.createDataFrame([], schema)).schema
+        return self.spark.read.schema(columns).parquet(self._landed(name, drain))
+
     def bronze_sales(self) -> DataFrame:
-        """The sales CSV with inferred types, normalised names, real file names."""
-        return self._materialise("bronze_sales", lambda: silver.bronze_sales(read_csv(self.spark, self.sales_csv())))
+        """The sales CSV, typed, normalised names, real file names."""
+        return self._csv_bronze("bronze_sales", self.sales_csv, SALES_CSV_SCHEMA, silver.bronze_sales)
 
     def bronze_orders(self) -> DataFrame:
         """What the order stream has appended to its sink."""
@@ -112,13 +122,27 @@ class Lakehouse:
 
         return self.spark.read.schema(ORDER_EVENT_SCHEMA).parquet(self._landed("bronze_orders", drain))
 
+    def orders_once_each(self) -> DataFrame:
+        """The order events, each id once, from a stream that keeps the ids it has seen."""
+        def drain(path: str) -> None:
+            run_orders_once_each(self.spark, self.order_events(), path, self.path("orders_once_checkpoint"))
+
+        return self.spark.read.schema(ORDER_EVENT_SCHEMA).parquet(self._landed("orders_once_each", drain))
+
+    def orders_judged(self) -> tuple[DataFrame, DataFrame]:
+        """The accepted order events and the rejected payloads, from a stream with two sinks."""
+        def drain(path: str) -> None:
+            run_orders_with_rejects(self.spark, self.order_events(), f"{path}/accepted", f"{path}/rejected", self.path("orders_judged_checkpoint"))
+
+        path = self._landed("orders_judged", drain)
+        return self.spark.read.parquet(f"{path}/accepted"), self.spark.read.parquet(f"{path}/rejected")
+
     def bronze_orders_legacy(self) -> DataFrame:
         return adapter.legacy_order_events(self.landing_lines())
 
     def bronze_shipments(self) -> DataFrame:
         """The all-string shipments CSV, blank cells read as NULL."""
-        return self._materialise("bronze_shipments", lambda: silver.bronze_shipments(
-            read_csv(self.spark, self.shipments_csv(), infer_schema=False)))
+        return self._csv_bronze("bronze_shipments", self.shipments_csv, all_strings(adapter.SHIPMENT_HEADERS), silver.bronze_shipments)
 
     # ------------------------------------------------------------ silver
     def silver_sales(self) -> DataFrame:
@@ -212,10 +236,31 @@ class Lakehouse:
 
         return self._materialise("banded_clusters", build)
 
+    def leak_free_forecast(self) -> DataFrame:
+        """The forecast of the same model over features that know nothing of the month to be forecast."""
+        from strata.operators import ml
+        return self._materialise_model("leak_free_forecast", lambda held: ml.demand_forecast(self.silver_sales(), cached=held, leak_free=True))
+
     def naive_forecast(self) -> DataFrame:
         from strata.operators import ml
         return self._materialise("naive_forecast", lambda: ml.naive_demand_forecast(self.silver_sales()).drop("created_at"))
 
+    def lookup_fanout(self) -> DataFrame:
+        """For each lookup of the facts: dimension names with several rows, and the fact rows they would add."""
+        def build() -> DataFrame:
+            sales, orders = self.silver_sales(), self.orders_or_none()
+            lookups = [
+                (sales, "fact_sales", self.dim_time(), "dim_time", {"year": "year", "month": "month"}),
+                (sales, "fact_sales", self.dim_product(), "dim_product", {"product_name": "product_name"}),
+                (sales, "fact_sales", self.dim_customer(), "dim_customer", {"customer_name": "customer_name"}),
+                (sales, "fact_sales", self.dim_sales_rep(), "dim_sales_rep", {"sales_rep_name": "name_of_sales_rep"}),
+                (orders, "fact_orders", self.dim_product(), "dim_product", {"product_name": "product_name"}),
+                (orders, "fact_orders", self.dim_customer(), "dim_customer", {"customer_name": "customer_name"}),
+            ]
+            return quality.suite([quality.lookup_fanout(*x) for x in lookups])
+
+        return self._materialise("lookup_fanout", build)
+
     def build_gold(self) -> None:
         for step in (self.dim_time, self.dim_product, self.dim_customer, self.dim_sales_rep,
                      self.fact_sales, self.fact_orders):

@@ -6,7 +6,8 @@ its scheduler.  Silver, Gold and the model outputs are
 written by the Lakehouse (once per application and input folder); the marts and
 the check results are written to ``out_dir`` (a fresh folder below the shared
 checkpoint folder by default), and the checks read the written marts, the way
-the reference's tests read its materialised mart tables.  A step that fails can
+the reference's tests read its materialised mart tables.  The staging view and the
+marts are also published under their names in the catalog (``plans.models``).  A step that fails can
 be rerun without recomputing the finished tables.
 """
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import marts, quality
 from strata.plans.lakehouse import Lakehouse
+from strata.plans.models import materialise_models
 from strata.session import scratch_path
 from strata.sources.sinks import export_csv, register_views, write_overwrite
 
@@ -63,6 +65,9 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     for step in (lh.bronze_sales, lh.bronze_shipments, lh.bronze_orders,  # CSV ingestion and the stream's sink
                  lh.silver_sales, lh.silver_orders, lh.silver_shipments):
         step()
+    for dim in (lh.dim_time, lh.dim_product, lh.dim_customer, lh.dim_sales_rep):
+        dim()
+    fanout = lh.lookup_fanout()  # counted before the facts look their keys up by name
     lh.build_gold()
     if with_models:
         lh.ml_customer_clusters()
@@ -75,8 +80,10 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     written = {name: spark.read.parquet(p) for name, p in paths.items()}
     lh.register_views()
     register_views({**written, "stg_sales": marts.staging_sales(lh.silver_sales())})
+    materialise_models(lh, ["stg_sales", *written], "lake_")
     if with_models:
         lh.register_tables("lake_")
+    write_overwrite(fanout, os.path.join(out, "lookup_fanout"))
     gold_tables = {name: getattr(lh, name)() for name in ("dim_product", "dim_time", "dim_sales_rep")}
     for name in EXPORTS:
         if name in gold_tables or name in written:

@@ -22,6 +22,7 @@ from strata.operators import catalog, cleaning, gold, kpis, marts, ml, quality
 from strata.operators import silver as S
 from strata.plans import oracle as O
 from strata.plans.lakehouse import Lakehouse
+from strata.schemas import ORDER_EVENT_SCHEMA
 from strata.sources import adapter
 from strata.sources.tables import Tables, load_safe, read_csv
 from strata.session import scratch_path
@@ -30,6 +31,7 @@ from strata.streaming import orders as stream
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+PLAIN: dict[str, str] = {}  # the final SELECT of each oracle
 EXTRA: dict[str, dict[str, str]] = {}
 
 
@@ -37,6 +39,7 @@ def query(name: str, sql: str | None = None, extra: dict[str, str] | None = None
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
         if sql is not None:
+            PLAIN[name] = sql
             ORACLES[name] = O.with_ctes(sql, extra)
         return fn
     return deco
@@ -68,7 +71,7 @@ SELECT cluster_id, COUNT(*) AS num_clientes, {r(mavg('total_sales'))} AS avg_sal
        {r('AVG(transaction_count)')} AS avg_transactions, {r(mavg('avg_transaction_value'))} AS avg_ticket,
        {r(msum('total_sales'))} AS sum_sales
 FROM banded GROUP BY cluster_id"""
-_labels_case = " ".join(f"WHEN {i} THEN '{lbl}'" for i, lbl in enumerate(ml.SEGMENT_LABELS, start=1))
+_labels_case = "WHEN 1 THEN 'Básico - Bajo Volumen' WHEN 2 THEN 'Regular - Volumen Medio' WHEN 3 THEN 'Premium - Alto Volumen'"
 ML_CTES["banded_labels"] = f"""
 SELECT *, CASE sales_rank {_labels_case} END AS cluster_label
 FROM (SELECT *, row_number() OVER (ORDER BY avg_sales, cluster_id) AS sales_rank FROM banded_stats)"""
@@ -98,6 +101,14 @@ FROM lagged WHERE lag_3 IS NOT NULL"""
 ML_CTES["split"] = """
 SELECT f.*, CASE WHEN f.year_month < c.split_date THEN 'train' ELSE 'test' END AS split
 FROM features f CROSS JOIN (SELECT CAST(MAX(year_month) - INTERVAL 6 MONTH AS DATE) AS split_date FROM features) c"""
+ML_CTES["spine"] = """
+SELECT product_name, country, CAST(unnest(generate_series(MIN(year_month), MAX(year_month), INTERVAL 1 MONTH)) AS DATE) AS year_month
+FROM monthly GROUP BY product_name, country"""
+ML_CTES["filled"] = """
+SELECT s.product_name, s.country, CAST(year(s.year_month) AS INTEGER) AS year, CAST(month(s.year_month) AS INTEGER) AS month, s.year_month,
+       COALESCE(m.total_sales, 0) AS total_sales, COALESCE(m.total_quantity, 0) AS total_quantity, COALESCE(m.num_transactions, 0) AS num_transactions,
+       LAST_VALUE(m.avg_price IGNORE NULLS) OVER (PARTITION BY s.product_name, s.country ORDER BY s.year_month) AS avg_price, m.year_month IS NULL AS filled
+FROM spine s LEFT JOIN monthly m ON m.product_name IS NOT DISTINCT FROM s.product_name AND m.country IS NOT DISTINCT FROM s.country AND m.year_month = s.year_month"""
 ML_CTES["naive_pred"] = "SELECT *, lag_1 AS predicted_sales FROM split WHERE split = 'test'"
 ML_CTES["naive_metrics"] = """
 SELECT SQRT(AVG((total_sales - predicted_sales) * (total_sales - predicted_sales))) AS rmse,
@@ -152,9 +163,9 @@ FROM (SELECT cluster_label, COUNT(*) AS num_customers, {r(mavg('total_sales'))}
              {r(mavg('avg_transaction_value'))} AS avg_ticket, {r('AVG(total_qty)')} AS avg_quantity,
              {r('MIN(total_sales)')} AS min_sales, {r('MAX(total_sales)')} AS max_sales
       FROM banded_clusters GROUP BY cluster_label)"""
-_bands = " ".join(f"WHEN product_accuracy_pct >= {b} THEN '{lbl}'" for b, lbl in marts.ACCURACY_BANDS)
+_bands = "WHEN product_accuracy_pct >= 90 THEN 'Excelente' WHEN product_accuracy_pct >= 80 THEN 'Bueno' WHEN product_accuracy_pct >= 70 THEN 'Aceptable'"
 _MARTS["mart_forecast"] = f"""
-SELECT *, CASE {_bands} ELSE '{marts.ACCURACY_FALLBACK}' END AS accuracy_category
+SELECT *, CASE {_bands} ELSE 'Necesita mejora' END AS accuracy_category
 FROM (SELECT product_name, COUNT(*) AS num_predictions, {r(mavg('actual_sales'))} AS avg_actual_sales,
              {r('AVG(predicted_sales)')} AS avg_predicted_sales, {r('AVG(percentage_error)')} AS product_mape,
              {r('AVG(forecast_accuracy)')} AS product_accuracy_pct, {r(msum('actual_sales'))} AS total_actual_sales,
@@ -488,6 +499,41 @@ def forecast_features(spark, sf):
     return f.withColumns({c: round_half_up(c, 6) for c in _FEAT_ROUND})
 
 
+@q("lag_features_filled", f"""
+SELECT product_name, country, year, month, year_month, total_sales, total_quantity, num_transactions, {r('avg_price', 6)} AS avg_price, filled,
+       LAG(total_sales, 1) OVER w AS lag_1, LAG(total_sales, 2) OVER w AS lag_2, LAG(total_sales, 3) OVER w AS lag_3
+FROM filled WINDOW w AS (PARTITION BY product_name, country ORDER BY year_month)""")
+def lag_features_filled(spark, sf):
+    """Lags by month: the series with their missing months filled."""
+    filled = ml.lag_features(ml.fill_gaps(ml.monthly_demand(lh(spark, sf).silver_sales())))
+    return filled.withColumn("avg_price", round_half_up("avg_price", 6))
+
+
+@q("forecast_features_leak_free", f"""
+SELECT product_name, country, year_month, total_sales, lag_1, lag_2, lag_3, {r('moving_avg_3', 6)} AS moving_avg_3, {r('moving_avg_6', 6)} AS moving_avg_6,
+       prior_quantity, {r('prior_price', 6)} AS prior_price
+FROM (SELECT product_name, country, year_month, total_sales, LAG(total_sales, 1) OVER w AS lag_1, LAG(total_sales, 2) OVER w AS lag_2, LAG(total_sales, 3) OVER w AS lag_3,
+             AVG(total_sales) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS moving_avg_3,
+             AVG(total_sales) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS moving_avg_6,
+             LAG(total_quantity) OVER w AS prior_quantity, LAG(avg_price) OVER w AS prior_price
+      FROM monthly WINDOW w AS (PARTITION BY product_name, country ORDER BY year_month))
+WHERE lag_3 IS NOT NULL""")
+def forecast_features_leak_free(spark, sf):
+    """Features that end before the month to be forecast."""
+    f = ml.forecast_features(ml.monthly_demand(lh(spark, sf).silver_sales()), leak_free=True)
+    f = f.withColumns({c: round_half_up(c, 6) for c in ("moving_avg_3", "moving_avg_6", "prior_price")})
+    return f.select("product_name", "country", "year_month", "total_sales", "lag_1", "lag_2", "lag_3", "moving_avg_3", "moving_avg_6", "prior_quantity", "prior_price")
+
+
+@q("ml_forecast_leakage")
+def ml_forecast_leakage(spark, sf):
+    """The fit of the forecast with and without features of the target month, side by side."""
+    h = lh(spark, sf)
+    forms = [(h.ml_demand_forecast(), "with the target month"), (h.leak_free_forecast(), "leak-free")]
+    parts = [f.agg(F.count(F.lit(1)).alias("predictions"), *[F.max(f"model_{m}").alias(m) for m in ("r2", "rmse", "mae")]).select(F.lit(name).alias("features"), "*") for f, name in forms]
+    return quality.suite(parts)
+
+
 @q("forecast_time_split", "SELECT product_name, country, year_month, total_sales, split FROM split")
 def forecast_time_split(spark, sf):
     f = ml.forecast_features(ml.monthly_demand(lh(spark, sf).silver_sales()))
@@ -871,6 +917,25 @@ def dq_unique(spark, sf):
     return quality.suite([quality.unique_failures(frames[m], m, c) for m, c in UNIQUE])
 
 
+def _fanout_sql(fact: str, facts: str, dim: str, names: dict[str, str]) -> str:
+    keys, known = ", ".join(names), " AND ".join(f"{c} IS NOT NULL" for c in names)
+    return (f"SELECT '{fact}' AS fact, '{dim}' AS dimension, COUNT(*) AS repeated_names, CAST(COALESCE(SUM((n - 1) * used), 0) AS BIGINT) AS extra_facts "
+            f"FROM (SELECT d.n, (SELECT COUNT(*) FROM {facts} f WHERE {' AND '.join(f'f.{v} = d.{k}' for k, v in names.items())}) AS used "
+            f"FROM (SELECT {keys}, COUNT(*) AS n FROM {dim} WHERE {known} GROUP BY {keys} HAVING COUNT(*) > 1) d)")
+
+
+@q("dq_lookup_fanout", " UNION ALL ".join(_fanout_sql(*x) for x in [
+    ("fact_sales", "silver_sales", "dim_time", {"year": "year", "month": "month"}),
+    ("fact_sales", "silver_sales", "dim_product", {"product_name": "product_name"}),
+    ("fact_sales", "silver_sales", "dim_customer", {"customer_name": "customer_name"}),
+    ("fact_sales", "silver_sales", "dim_sales_rep", {"sales_rep_name": "name_of_sales_rep"}),
+    ("fact_orders", "silver_orders", "dim_product", {"product_name": "product_name"}),
+    ("fact_orders", "silver_orders", "dim_customer", {"customer_name": "customer_name"})]))
+def dq_lookup_fanout(spark, sf):
+    """K5: names that would multiply facts when these look their keys up, counted before they do."""
+    return lh(spark, sf).lookup_fanout()
+
+
 # Valid coordinate ranges (degrees).
 COORDINATE_RANGES = {"latitude": (-90.0, 90.0), "longitude": (-180.0, 180.0)}
 
@@ -883,10 +948,15 @@ def dq_coordinate_range(spark, sf):
     return quality.range_failures(lh(spark, sf).silver_sales(), "silver_sales", COORDINATE_RANGES)
 
 
+#: the accepted values once more, for the oracle
+_ACCEPTED_SQL = {"cluster_label": "'Premium - Alto Volumen', 'Regular - Volumen Medio', 'Básico - Bajo Volumen'",
+                 "accuracy_category": "'Excelente', 'Bueno', 'Aceptable', 'Necesita mejora'"}
+
+
 @q("dq_accepted_values", " UNION ALL ".join(
     f"SELECT '{m}' AS model, '{c}' AS column_name, 'accepted_values' AS test, "
-    f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({', '.join(repr(v) for v in vals)})) AS failures "
-    f"FROM {_MART_CTE[m]}" for m, c, vals in ACCEPTED))
+    f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({_ACCEPTED_SQL[c]})) AS failures "
+    f"FROM {_MART_CTE[m]}" for m, c, _ in ACCEPTED))
 def dq_accepted_values(spark, sf):
     frames = _mart_frames(spark, sf)
     return quality.suite([quality.accepted_values_failures(frames[m], m, c, v) for m, c, v in ACCEPTED])
@@ -915,7 +985,16 @@ def dq_relationships(spark, sf):
                           for c, fk, p, pk in RELATIONSHIPS])
 
 
-@q("pipeline_checks")
+_CHECKS = ("dq_not_null", "dq_unique", "dq_accepted_values")
+
+
+def _select_of(name: str) -> str:
+    """A registered oracle without its common tables."""
+    return PLAIN[name]
+
+
+@q("pipeline_checks", " UNION ALL ".join(_select_of(n) for n in _CHECKS)
+   + " UNION ALL SELECT child AS model, column_name, 'relationships' AS test, orphans AS failures FROM (" + _select_of("dq_relationships") + ")")
 def pipeline_checks(spark, sf):
     """L1: the whole pipeline in step order (models included); returns its check results."""
     from strata.plans.pipeline import run_pipeline
@@ -1046,6 +1125,27 @@ def stream_orders_bronze(spark, sf):
     return lh(spark, sf).bronze_orders()
 
 
+@q("stream_orders_once_each", "SELECT event_id, CAST(1 AS BIGINT) AS copies FROM bronze_orders WHERE event_id IS NOT NULL GROUP BY event_id")
+def stream_orders_once_each(spark, sf):
+    """T3 in the stream: repeated deliveries are dropped before the sink."""
+    return lh(spark, sf).orders_once_each().groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@q("stream_orders_accepted", "SELECT *, TRUE AS placed, TRUE AS stamped FROM bronze_orders WHERE event_id IS NOT NULL")
+def stream_orders_accepted(spark, sf):
+    """The typed side of the stream with two sinks; each row names its file and when it was read."""
+    accepted, _ = lh(spark, sf).orders_judged()
+    return accepted.select(*[f.name for f in ORDER_EVENT_SCHEMA.fields], F.col("_source_file").isNotNull().alias("placed"), F.col("_processed_at").isNotNull().alias("stamped"))
+
+
+@q("stream_orders_rejected", "SELECT 'not_json' AS reason, '#corrupt' AS head, COUNT(*) AS payloads, COUNT(*) AS placed FROM bronze_orders WHERE event_id IS NULL HAVING COUNT(*) > 0")
+def stream_orders_rejected(spark, sf):
+    """The other side: the payloads that are no events, by reason and first word; with the accepted ones they are all."""
+    _, rejected = lh(spark, sf).orders_judged()
+    return rejected.groupBy("reason", F.split("payload", " ")[0].alias("head")).agg(
+        F.count(F.lit(1)).alias("payloads"), F.count("_source_file").alias("placed"))
+
+
 # ====================================================================== sources and sinks (S1-S12)
 
 @q("src_csv_inferred", "SELECT " + ", ".join(
@@ -1080,6 +1180,86 @@ def sink_overwrite_roundtrip(spark, sf):
     return spark.read.parquet(path)
 
 
+@q("sink_keep_schema_roundtrip", "SELECT * FROM dim_product")
+def sink_keep_schema_roundtrip(spark, sf):
+    """Overwritten twice with the stored columns; other columns are refused and change nothing."""
+    from strata.sources.sinks import write_keep_schema
+    path = scratch_path(spark, "keep-schema")
+    dim = lh(spark, sf).dim_product()
+    write_keep_schema(dim.limit(0), path)
+    write_keep_schema(dim, path)
+    try:
+        write_keep_schema(dim.withColumn("another", F.lit(1)), path)
+    except ValueError:
+        return spark.read.parquet(path)
+    raise AssertionError("other columns were not refused")
+
+
+@q("sink_replace_table", "SELECT * FROM dim_product")
+def sink_replace_table(spark, sf):
+    """A table made, replaced by other columns, and switched to the rows of a third write."""
+    from strata.sources.sinks import replace_table
+    dim, root = lh(spark, sf).dim_product(), scratch_path(spark, "replaced")
+    for rows in (dim.withColumn("obsolete", F.lit(1)), dim.limit(0), dim):
+        replace_table(rows, "lake_replaced_product", root)
+    return spark.newSession().table("lake_replaced_product")
+
+
+def _by_name(name: str) -> Query:
+    """A published model as another session reads it: by its name in the catalog."""
+    def read(spark, sf):
+        from strata.plans.models import STAND_INS, materialise_models
+        names = materialise_models(lh(spark, sf), [name], "named_", STAND_INS)
+        return _round_model_cols(spark.newSession().table(names[name]))
+    return read
+
+
+for _name, _cte in _MART_CTE.items():
+    q(f"table_{_name}", f"SELECT * FROM {_cte}")(_by_name(_name))
+q("view_stg_sales", PLAIN["stg_sales"])(_by_name("stg_sales"))
+
+
+_NAMED_ROWS = {"ml_customer_clusters": "customer_features", "ml_demand_forecast": "split WHERE split = 'test'"}
+
+
+@q("ddl_external_tables_all", " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS table_rows FROM {_NAMED_ROWS.get(t, t)}" for t in Lakehouse.NAMED_TABLES))
+def ddl_external_tables_all(spark, sf):
+    """All ten named tables, read back by name from another session."""
+    named = lh(spark, sf).register_tables("lake_")
+    other = spark.newSession()
+    return quality.suite([other.table(n).agg(F.count(F.lit(1)).alias("table_rows")).select(F.lit(n.removeprefix("lake_")).alias("table_name"), "table_rows") for n in named])
+
+
+_EXPORTED = {"dim_product": "dim_product", "dim_time": "dim_time", "dim_sales_rep": "dim_sales_rep", **{m: _MART_CTE[m] for m in (
+    "mart_product_performance", "mart_sales_rep_performance", "mart_cluster_analysis", "mart_forecast_analysis")}}
+
+
+@q("sink_csv_exports_all", " UNION ALL ".join(f"SELECT '{e}' AS export, COUNT(*) AS export_rows, CAST(0 AS BIGINT) AS differing FROM {cte}" for e, cte in _EXPORTED.items()))
+def sink_csv_exports_all(spark, sf):
+    """All seven exports, read back and compared row by row with the tables they come from."""
+    from strata.plans.pipeline import EXPORTS
+    from strata.sources.sinks import export_csv
+    h, parts = lh(spark, sf), []
+    for name in EXPORTS:
+        table = h.mart(name) if name.startswith("mart_") else getattr(h, name)()
+        path = scratch_path(spark, "export", name)
+        export_csv(table, path)
+        back = read_csv(spark, path, schema=table.schema)
+        marked = table.select("*", F.lit(1).alias("_side")).unionByName(back.select("*", F.lit(-1).alias("_side")))
+        sides = marked.groupBy(*table.columns).agg(F.sum("_side").alias("_left"), F.count_if(F.col("_side") < 0).alias("_back"))
+        parts.append(sides.agg(F.sum("_back").alias("export_rows"), F.sum(F.abs("_left")).alias("differing")).select(
+            F.lit(name).alias("export"), F.coalesce("export_rows", F.lit(0)).cast("bigint").alias("export_rows"), F.coalesce("differing", F.lit(0)).cast("bigint").alias("differing")))
+    return quality.suite(parts)
+
+
+@q("fact_ids", "SELECT 'fact_sales' AS fact, COUNT(*) AS fact_rows, COUNT(*) AS ids FROM fact_sales UNION ALL SELECT 'fact_orders', COUNT(*), COUNT(*) FROM fact_orders")
+def fact_ids(spark, sf):
+    """The partition-dependent fact ids name every row once."""
+    h = lh(spark, sf)
+    return quality.suite([f.agg(F.count(F.lit(1)).alias("fact_rows"), F.countDistinct(c).alias("ids")).select(F.lit(n).alias("fact"), "fact_rows", "ids")
+                          for f, n, c in ((h.fact_sales(), "fact_sales", "sale_sk"), (h.fact_orders(), "fact_orders", "order_sk"))])
+
+
 @q("ddl_external_table", "SELECT * FROM dim_sales_rep")
 def ddl_external_table(spark, sf):
     names = lh(spark, sf).register_tables("lake_")

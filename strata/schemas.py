@@ -37,3 +37,16 @@ FACT_ORDERS_SCHEMA = _s(
     ("channel", StringType()), ("sub_channel", StringType()), ("country", StringType()),
     ("city", StringType()), ("currency", StringType()),
 )
+
+# The sales CSV as inference types it, and the shipments CSV, all strings; both in file order.
+SALES_CSV_SCHEMA = _s(
+    ("Distributor", StringType()), ("Customer Name", StringType()), ("City", StringType()), ("Country", StringType()),
+    ("Latitude", DoubleType()), ("Longitude", DoubleType()), ("Channel", StringType()), ("Sub-channel", StringType()),
+    ("Product Name", StringType()), ("Product Class", StringType()), ("Quantity", IntegerType()), ("Price", DoubleType()),
+    ("Sales", DoubleType()), ("Month", StringType()), ("Year", IntegerType()), ("Name of Sales Rep", StringType()),
+    ("Manager", StringType()), ("Sales Team", StringType()),
+)
+
+
+def all_strings(names: list[str]) -> StructType:
+    return _s(*[(n, StringType()) for n in names])

@@ -58,7 +58,7 @@ def test_lakehouse_follows_its_source(spark, sf_dir, tmp_path):
     import os
     import shutil
     for name in os.listdir(sf_dir):
-        shutil.copy(f"{sf_dir}/{name}", tmp_path)
+        shutil.copyfile(f"{sf_dir}/{name}", tmp_path / name)
     first = Lakehouse.get(spark, str(tmp_path))
     assert Lakehouse.get(spark, str(tmp_path)) is first
     spark.read.parquet(f"{sf_dir}/nation.parquet").limit(24).toPandas().to_parquet(tmp_path / "nation.parquet")
