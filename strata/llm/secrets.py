@@ -17,7 +17,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import as_text
+from strata.llm.common import as_text, let
 
 #: base kinds in the order that breaks ties of the start: pattern, and the check a match must pass
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -56,27 +56,33 @@ ALLOW = (
 )
 
 
-HIT = "array<struct<start:int,kind_order:int,end:int,kind:string,hit:string>>"
+def _running_sums(lengths: Column, block: int = 256) -> Column:
+    """The sum of the array up to each element: within blocks first, then each block is moved by the total of those before.
 
+    A fold that appends copies its array at each step, so none here gets longer
+    than a block or than the number of blocks."""
+    last = lambda a: F.coalesce(F.get(a, F.size(a) - 1), F.lit(0))
+    upto = lambda a: F.aggregate(a, F.array().cast("array<int>"), lambda s, x: F.array_append(s, last(s) + x))
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    def joined(blocks: Column) -> Column:
+        return let(upto(F.transform(blocks, last)), lambda ends: F.flatten(F.transform(blocks, lambda b, i: F.transform(b, lambda x: x + F.coalesce(F.get(ends, i - 1), F.lit(0))))))
+
+    def cut(steps: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / block).cast("int"))
+        return let(F.transform(starts, lambda i: upto(F.slice(steps, i * block + 1, F.lit(block)))), joined)
+
+    return let(lengths, cut)
 
 
 def _spans(text: Column, hits: Column, pattern: str, kind: str, order: int) -> Column:
     """Place the matches: the pieces between them give the gaps, a running sum the positions."""
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
-    pairs = F.zip_with(gaps, hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("length"), hit.alias("hit")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(HIT).alias("spans"))
+    ends = _running_sums(F.zip_with(gaps, hits, lambda gap, hit: F.length(gap) + F.length(hit)))
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + pair["gap"]
-        end = start + pair["length"]
-        span = F.struct(start.alias("start"), F.lit(order).alias("kind_order"), end.alias("end"), F.lit(kind).alias("kind"), pair["hit"].alias("hit"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+    def span(end: Column, hit: Column) -> Column:
+        return F.struct((end - F.length(hit)).alias("start"), F.lit(order).alias("kind_order"), end.alias("end"), F.lit(kind).alias("kind"), hit.alias("hit"))
 
-    return F.when(F.size(hits) > 0, F.aggregate(pairs, zero, step)["spans"])
+    return F.when(F.size(hits) > 0, F.zip_with(ends, hits, span))
 
 
 def window_bits(candidate: Column, alphabet: str, window: int) -> Column:
@@ -108,7 +114,7 @@ def window_bits(candidate: Column, alphabet: str, window: int) -> Column:
         n = least_window.cast("double")
         return F.log2(n) - F.aggregate(steps, zero, step)["least"] / PARTS / n
 
-    return _let(F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(alphabet), c)), best)
+    return let(F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(alphabet), c)), best)
 
 
 def _judge(c: EntropyClass, allow: tuple[str, ...]) -> Callable[[Column], Column]:
