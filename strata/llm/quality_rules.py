@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import as_text, map_arrow, materialise
+from strata.llm.common import as_text, let, map_arrow, materialise
 
 #: fixed values: the most common function words of four languages
 COMMON_WORDS = {
@@ -77,12 +77,15 @@ def common_counts(text: str, lang: str | None) -> list[int]:
 def distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance (base 2) of two arrays of counts; null if either is all zero."""
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    norm = lambda a: F.transform(a, lambda x: x / F.nullif(total(a), F.lit(0.0)))
     half = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
-    parts = F.zip_with(norm(p), norm(q), lambda x, y: half(x, (x + y) / 2) + half(y, (x + y) / 2))
-    half_sum = total(parts) / 2
-    root = F.sqrt(F.when(half_sum < 0, 0.0).otherwise(half_sum))  # rounding may leave it below 0
-    return F.when((total(p) > 0) & (total(q) > 0), root)
+    both = lambda x, y: half(x, (x + y) / 2) + half(y, (x + y) / 2)
+
+    def root(totals: Column) -> Column:
+        parts = F.zip_with(p, q, lambda x, y: both(x / totals["p"], y / totals["q"]))
+        half_sum = let(total(parts) / 2, lambda s: F.greatest(s, F.lit(0.0)))  # rounding may leave it below 0
+        return F.when((totals["p"] > 0) & (totals["q"] > 0), F.sqrt(half_sum))
+
+    return let(F.struct(F.nullif(total(p), F.lit(0.0)).alias("p"), F.nullif(total(q), F.lit(0.0)).alias("q")), root)
 
 
 def score_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
