@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import as_text, by_rows, by_volume, map_arrow, materialise, mix64
 
 TRIGGER = 32
-PLACE_BITS = 28
+#: no text of Spark is longer
+PLACE_BITS = 31
 #: strings of a slice
 SLICE = 8
 LAST = (1 << 63) - 1
@@ -361,8 +362,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     removed runs.  A null text counts as empty; texts below ``length`` bytes stay
     whole.  A null id comes after every other.  Rows of one id are not earlier
     than each other, so repeated rows give equal rows.  No rows give no rows.
-    Only the two named columns are read; ids must be whole numbers, texts shorter
-    than 256 MB.
+    Only the two named columns are read; ids must be whole numbers.  A text is
+    handled in one piece, whatever its length.
     """
     rows = _rows(df, id_col, text_col)
     triggers = materialise(dictionary(rows, length, group_bytes), "triggers")
