@@ -90,6 +90,9 @@ def test_redaction(spark):
 
 def test_many_matches_in_a_long_text(spark):
     text = "secret = abcdef, " * 3000
+    began = time.time()
+    assert len(secrets.scan(spark.createDataFrame([(text * 30,)], "text string")).first().secret_spans) == 90_000
+    assert time.time() - began < 60
     (row,) = secrets.scan(spark.createDataFrame([(text,)], "text string")).collect()
     assert [(s.start, s.kind_order, s.end, s.kind) for s in row.secret_spans] == base_spans(text)
 
@@ -257,6 +260,37 @@ def test_classifier_edge_rows(spark):
     assert ngram_quality.classify(df, labels.limit(0)).count() == 5 and ngram_quality.classify(df.limit(0), labels).count() == 0
 
 
+def test_bounds_and_verdicts_by_definition(spark):
+    """Bounds come from all trusted texts, also those beyond the sample that trains; languages in one fold are judged."""
+    pick = random.Random(4)
+    words = {"a": "red green blue stone river".split(), "b": "uno dos tres casa perro".split()}
+    fold = dict(map(tuple, spark.range(2000).selectExpr("id", "pmod(xxhash64(id, 'held out'), 2)").collect()))
+    lone = [i for i in range(1000, 2000) if fold[i] == 1][:6]
+    rows = [(i, " ".join(pick.choice(words["ab"[i % 2]]) for _ in range(pick.choice([20, 90]))), "ab"[i % 2]) for i in range(400)]
+    rows += [(i, "sol luna mar " * 8, "c") for i in lone]
+    rows += [(i, "".join(chr(pick.randrange(33, 126)) for _ in range(150)), "abc"[i % 3]) for i in range(500, 530)]
+    rows += [(600, None, "a"), (601, "", "c"), (602, "abc", "d"), (603, "abc", "d"), (604, "one trusted text", "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 as fold", "2 as moved").repartition(3)
+    good = {*range(0, 400, 2), *range(1, 400, 4), *lone, 604}
+    labels = spark.createDataFrame([(i, 1, 0) for i in good] + [(500, 0, 0), (603, 1, 1)], "doc_id long, quality int, toxic int")
+    for most in (1_000_000, 150):
+        got = ngram_quality.classify(df, labels, max_trusted=most, high=0.95, least=1).collect()
+        assert len(got) == len(rows) and all(r.kept for r in got if 600 <= r.doc_id < 700)
+        assert not any(r.kept for r in got if 500 <= r.doc_id < 530)
+        size = lambda r: sum(r.n_bytes >= n for n in ngram_quality.LENGTHS)
+        bins: dict[tuple[str, int], list[int]] = {}
+        for r in got:
+            if r.doc_id in good and r.perplexity is not None:
+                bins.setdefault((r.lang, size(r)), []).append(math.floor(math.log2(r.perplexity) / ngram_quality.BIN + 1e-9))
+        if most > 150:
+            assert sum(map(len, bins.values())) == len(good) - 1  # all but the one that trains alone
+        for r in got:
+            if (r.lang, size(r)) in bins and r.perplexity is not None:
+                known = sorted(bins[r.lang, size(r)])
+                bound = (known[math.ceil(0.95 * len(known) - 1e-9) - 1] + 1) * ngram_quality.BIN
+                assert abs(math.log2(r.highest) - bound) < 1e-6 and r.kept == (math.log2(r.perplexity) <= bound + 1e-9)
+
+
 ARTICLE = "<article><h1>Head &amp; tail</h1><p>One <b>two</b> th<i>ree</i>\n&nbsp;four<p>Five<br>six<ul><li>a<li>b</ul></article>"
 
 
