@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from strata.llm.common import map_arrow
+from strata.llm.common import map_arrow, materialise
 
 EXACT = 2.0 ** 53
 
@@ -67,9 +67,9 @@ class _Best:
         self.scores[q, :len(top)], self.ids[q, :len(top)] = scores[top], ids[top]
 
 
-def search_blocks(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, block_rows: int) -> _Best:
-    """The k best of ``vectors`` for each query, by pruned block-at-a-time scoring."""
-    best = _Best(len(query_ids), k)
+def search_blocks(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, block_rows: int, best: _Best | None = None) -> _Best:
+    """The k best of ``vectors``, and of those already in ``best``, for each query, by pruned block-at-a-time scoring."""
+    best = _Best(len(query_ids), k) if best is None else best
     order = np.argsort(ids, kind="stable")  # blocks are ranges of documents
     blocks = [order[i:i + block_rows] for i in range(0, len(order), block_rows)]
     maxima = np.array([vectors[b].max(axis=0) for b in blocks], np.float64)
@@ -113,7 +113,7 @@ def usable_vectors(df: DataFrame, id_col: str, vector_col: str, scale: float) ->
 def _scorer(shared: Broadcast, k: int, block_rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Score a task's rows against a query block; k rows a query come out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tops: dict[int, list[tuple[int, int]]] = {}
+        tops: dict[int, _Best] = {}  # by size of vectors; what a task has found prunes its later batches
         for batch in batches:
             ids, rows = _terms(batch)
             sizes = np.array([len(r) for r in rows])
@@ -121,14 +121,11 @@ def _scorer(shared: Broadcast, k: int, block_rows: int) -> Callable[[Iterator[pa
                 here = np.flatnonzero(sizes == size)
                 if not len(here):
                     continue
-                best = search_blocks(query_ids, queries, ids[here], np.array([rows[j] for j in here], np.int64), k, block_rows)
-                for q, query_id in enumerate(query_ids.tolist()):
-                    n = int(best.filled[q])
-                    new = tops.get(query_id, []) + [(-int(s), int(d)) for s, d in zip(best.scores[q, :n], best.ids[q, :n])]
-                    tops[query_id] = sorted(new)[:k]
-        flat = [(q, d, -s) for q, top in tops.items() for s, d in top]
-        columns = list(zip(*flat)) or [[], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "id", "score"])
+                tops[size] = search_blocks(query_ids, queries, ids[here], np.array([rows[j] for j in here], np.int64), k, block_rows, tops.get(size))
+        for size, best in tops.items():
+            filled = np.arange(k)[None, :] < best.filled[:, None]
+            columns = np.repeat(shared.value[size][0], best.filled), best.ids[filled], best.scores[filled]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "id", "score"])
 
     return run
 
@@ -143,8 +140,8 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     are compared with those of the same length only.  A repeated id gives one
     query (that of the smallest vector) and a candidate for each row.  Fewer
     than k candidates give fewer rows; no rows give no rows.  Queries are
-    broadcast in blocks of about ``query_block``, a job's tasks score one such
-    block against their rows.
+    broadcast in blocks of about ``query_block``, one block at a time: a job's
+    tasks score it against their rows and write at most k rows a query each.
     """
     vectors = usable_vectors(df, id_col, vector_col, scale)
     asked = vectors.where(F.col("id") % every == 0).groupBy("id").agg(F.min("terms").alias("terms"))
@@ -156,7 +153,9 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
         for size in {len(r.terms) for r in chunk}:
             same = [r for r in chunk if len(r.terms) == size]
             by_size[size] = np.array([r.id for r in same], np.int64), np.array([r.terms for r in same], np.int64)
-        part = map_arrow(vectors, _scorer(sc.broadcast(by_size), k, block_rows), "query_id long, id long, score long")
+        shared = sc.broadcast(by_size)
+        part = materialise(map_arrow(vectors, _scorer(shared, k, block_rows), "query_id long, id long, score long"), "topk-block")
+        shared.destroy()
         found = part if found is None else found.unionByName(part)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")  # k rows a task and query at most
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -50,8 +50,10 @@ def test_blocks_are_pruned(monkeypatch):
     monkeypatch.setattr(topk_search, "_score", lambda q, d: scored.append(len(d)) or real(q, d))
     vectors = np.zeros((100, 3), np.int64)
     vectors[40:50] = 100
-    topk_search.search_blocks(np.array([-1]), np.array([[1, 2, 3]]), np.arange(100), vectors, 5, 10)
+    best = topk_search.search_blocks(np.array([-1]), np.array([[1, 2, 3]]), np.arange(100), vectors, 5, 10)
     assert scored == [10]
+    topk_search.search_blocks(np.array([-1]), np.array([[1, 2, 3]]), np.arange(100, 200), vectors // 2, 5, 10, best)  # a later batch of the task
+    assert scored == [10] and best.ids.tolist() == [[40, 41, 42, 43, 44]]
 
 
 def check_schedule(rows, period, block_rows, shares):
