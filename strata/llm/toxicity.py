@@ -249,7 +249,7 @@ class Classifier:
             return
         # one order on any cluster, in partitions of some 16,000 rows: split candidates depend on it
         parts = 1 << max(0, math.ceil(math.log2(max(sum(r.n for r in stats), 1) / 16_384)))
-        rows = rows.repartition(parts, "sketch").sortWithinPartitions("sketch", "toxic", "values")
+        rows = rows.repartition(parts, "sketch").coalesce(parts).sortWithinPartitions("sketch", "toxic", "values")
         rows = rows.select("fold", "weight", F.col("toxic").cast("double").alias("label"), array_to_vector("values").alias("features"))
         learner = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, minInstancesPerNode=5, seed=11, weightCol="weight")
         self.trees = learner.fit(rows.where(F.col("fold") != held) if calibrated else rows)
