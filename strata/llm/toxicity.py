@@ -51,20 +51,27 @@ _INNER = re.compile(r"[*._\-'’]")
 _STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
 _SPACED = re.compile(r"(?<!\S)(?:[^\W\d_][ .*_-]){3,}[^\W\d_](?!\S)")
 _MARK_RUN = re.compile(r"[!?]{2,}")
+_TRIPLE = re.compile(r"(.)\1\1")
+_NOTHING = (0.0,) * 4
 
 
 def units_of(word: str) -> list[str]:
     """What the learned lexicon knows of a word: itself and its beginnings of 4 to 6 letters."""
-    return [word, *(f"{word[:n]}~" for n in (4, 5, 6) if len(word) > n)]
+    n = len(word)
+    if n < 5:
+        return [word]
+    if n == 5:
+        return [word, word[:4] + "~"]
+    return [word, word[:4] + "~", word[:5] + "~", word[:6] + "~"] if n > 6 else [word, word[:4] + "~", word[:5] + "~"]
 
 
 def spelled(token: str) -> tuple[str, bool, bool]:
     """The word meant by a token, in lower case, and whether it was obfuscated or stretched."""
-    plain = _EDGES.sub("", token).lower()
+    plain = (token if token.isalpha() else _EDGES.sub("", token)).lower()
     word = plain
     if word and not word.isalpha() and any(c.isalpha() for c in word):
         word = _INNER.sub("", word.translate(LEET))
-    meant = _STRETCHED.sub(r"\1", word)
+    meant = _STRETCHED.sub(r"\1", word) if len(word) > 2 and _TRIPLE.search(word) else word
     return meant, word != plain and word.isalpha(), meant != word
 
 
@@ -81,10 +88,10 @@ class Lexicon(dict):
         if len(self) > 250_000:
             self.clear()
         word, obfuscated, stretched = spelled(token)
-        letters = sum(map(str.isalpha, token))
+        shouted = token.isupper() and sum(map(str.isalpha, token)) > 2
         bits = (self.INSULT * (word in INSULTS) | self.SECOND * (word in SECOND_PERSON) | self.OBFUSCATED * obfuscated
-                | self.STRETCHED * stretched | self.SHOUTED * (letters > 2 and token.isupper()))
-        weight = max((self.weights.get(u, 0.0) for u in units_of(word)), default=0.0) if word else 0.0
+                | self.STRETCHED * stretched | self.SHOUTED * shouted)
+        weight = max(map(self.weights.get, units_of(word), _NOTHING)) if word else 0.0
         self[token] = known = (weight, bits, word) if bits or weight else None
         return known
 
