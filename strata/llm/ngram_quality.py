@@ -347,9 +347,8 @@ def trusted_ids(labels: DataFrame, id_col: str) -> DataFrame:
 
 
 def training_ids(trusted: DataFrame, max_trusted: int) -> DataFrame:
-    """The ids that train: all up to ``max_trusted``, beyond that about as many, chosen by hash."""
-    n = trusted.count()
-    return trusted if n <= max_trusted else trusted.where(F.pmod(F.xxhash64("trusted_id"), F.lit(n)) < max_trusted)
+    """The ids that train, all of them: broadcast up to ``max_trusted``, beyond that shuffled with the texts."""
+    return F.broadcast(trusted) if trusted.count() <= max_trusted else trusted.hint("merge")
 
 
 def lone_texts(texts: DataFrame) -> DataFrame:
@@ -363,9 +362,8 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """``<id_col>, lang, n_bytes, perplexity, highest, kept, mark``, one row for each input row.
 
     Trusted texts are those that ``labels`` (``<id_col>, quality, toxic``) calls
-    good and not toxic.  All of them settle the bounds; at most about
-    ``max_trusted`` train the models (a documented bound, so that their ids can be
-    broadcast).  Rows are dealt by the hash of their id into ``folds``; each is
+    good and not toxic.  All of them settle the bounds and train the models; up
+    to ``max_trusted`` ids are broadcast, more are joined by a shuffle.  Rows are dealt by the hash of their id into ``folds``; each is
     scored by the model of its fold, which the trusted texts of the other folds
     train, so all trusted texts count as held out.  Where all that train a
     language fall into one fold, the one of the smallest id moves to the next.  A
@@ -381,7 +379,7 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     tells rows of one id apart.
     """
     trusted = trusted_ids(labels, id_col)
-    training = F.broadcast(training_ids(trusted, max_trusted))
+    training = training_ids(trusted, max_trusted)
     is_trusted = F.col("id") == F.col("trusted_id")
     dealt = F.pmod(F.xxhash64("id", F.lit("held out")), F.lit(folds))
     rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"), df[lang_col].alias("lang")).withColumn("fold", dealt)
