@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import scratch_path
+from strata.session import delete_folder, scratch_path, shuffles_deleted
 
 T = TypeVar("T")
 
@@ -28,21 +28,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _collector = threading.local()
 
 
-#: has Spark delete the shuffle files of a query when the query ends
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextlib.contextmanager
-def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of what is written meanwhile go with the write, not at some later garbage collection."""
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -76,8 +61,7 @@ def collected_scratch() -> Iterator[list[str]]:
 def delete_scratch(spark: SparkSession, paths: list[str]) -> None:
     """Delete folders that ``materialise`` wrote and nothing reads any more."""
     for path in paths:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(spark, path)
 
 
 def as_text(column: str) -> Column:
