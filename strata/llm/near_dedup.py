@@ -208,8 +208,9 @@ def pack_texts(df: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> D
 def components(edges: DataFrame) -> DataFrame:
     """``node, label``: the smallest node of each node's component, for the nodes of ``edges`` (``a, b``).
 
-    Alternates large-star and small-star steps until the edges stay the same;
-    each round is written, so a lost executor costs a round at most.
+    Alternates large-star and small-star steps until every component is a star
+    around its smallest node; each round is written, so a lost executor costs a
+    round at most.
     """
     def star(links: DataFrame, large: bool) -> DataFrame:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -221,17 +222,36 @@ def components(edges: DataFrame) -> DataFrame:
             return out.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         return out.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
-    def mark(links: DataFrame) -> tuple:
-        return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def all_stars(links: DataFrame) -> bool:
+        """With a > b in each link: no node has two smaller ones, or a smaller and a larger one."""
+        ends = links.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+            links.select(F.col("b").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+        return ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down > 1 or down > 0 and up > 0").isEmpty()
 
     edges = materialise(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    before = None
-    while (now := mark(edges)) != before:
-        before = now
+    while not all_stars(edges):
         edges = materialise(star(materialise(star(edges, True), "edges"), False), "edges")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
+def merge_links(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` (of ``components``) after further links ``a, b``: only the classes that these join are worked on."""
+    if labels is None:
+        return components(links)
+    ends = links
+    for end in ("a", "b"):
+        known = labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+        ends = ends.join(known, end, "left").withColumn(end, F.coalesce(f"{end}_label", end))
+    joined = materialise(ends.where("a <> b").select("a", "b").distinct(), "joined")
+    if joined.isEmpty():
+        return labels
+    moved = components(joined)
+    to = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    # a class's smallest node has no label of its own yet, so no node comes twice
+    kept = labels.join(to, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return materialise(kept.unionByName(moved), "labels")
+
+
 def choose_hubs(buckets: DataFrame, labels: DataFrame | None, past: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """The buckets' rows with their class, and ``key, hub, hub_label``: each bucket's next hub.
 
@@ -343,7 +363,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     degrees = materialise(buckets.groupBy("node").agg(F.sum("n").alias("degree")), "degrees")
     buckets = materialise(buckets.join(degrees, "node").select("key", "node", "degree"), "members")
     texts = materialise(pack_texts(df, degrees.select("node"), id_col, text_col), "texts")
-    found, tried, past, labels = None, None, None, None
+    tried, past, labels = None, None, None
     add = lambda all_rows, new: new if all_rows is None else all_rows.unionByName(new)
     for _ in range(rounds):
         members, hubs = choose_hubs(buckets, labels, past)
@@ -353,14 +373,13 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if pairs.isEmpty():
             break
         tried = add(tried, pairs)
-        found = add(found, materialise(verify(pairs, texts, similarity), "links"))
-        labels = components(found)
+        labels = merge_links(labels, materialise(verify(pairs, texts, similarity), "links"))
     if labels is not None:
         left = materialise(left_over(buckets, labels, past), "left")
         tokens = prefixes(texts.join(left, "node", "left_semi"), similarity).join(left, "node")
         pairs = materialise(prefix_pairs(tokens, similarity).join(tried, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
-            labels = components(add(found, materialise(verify(pairs, texts, similarity), "links")))
+            labels = merge_links(labels, materialise(verify(pairs, texts, similarity), "links"))
     classes = nodes.select("print", "node")
     if labels is not None:
         classes = classes.join(labels, "node", "left").select("print", F.coalesce("label", "node").alias("node"))

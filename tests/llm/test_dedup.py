@@ -35,6 +35,34 @@ def test_overlap_counts_multisets():
     assert near_dedup.overlap(a, b) == pytest.approx(2 / (4 + 5 - 2))
 
 
+def _smallest(links):
+    """Each node's smallest connected node."""
+    at = {n: n for pair in links for n in pair}
+    while any(at[a] != at[b] for a, b in links):
+        for a, b in links:
+            at[a] = at[b] = min(at[a], at[b])
+    return {n: m for n, m in at.items() if n != m}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_links_merge_into_known_classes(spark, seed):
+    pick = random.Random(seed)
+    batches = [[(pick.randrange(60), pick.randrange(60)) for _ in range(n)] for n in (25, 0, 1, 12)]
+    labels, links = None, []
+    for batch in batches:
+        links += batch
+        labels = near_dedup.merge_links(labels, spark.createDataFrame(batch, "a long, b long"))
+        rows = labels.collect()
+        assert {r.node: r.label for r in rows} == _smallest(links) and len(rows) == len({r.node for r in rows})
+
+
+def test_links_of_a_hub_take_no_rounds(spark, monkeypatch):
+    written, write = [], near_dedup.materialise
+    monkeypatch.setattr(near_dedup, "materialise", lambda df, name: (written.append(name), write(df, name))[1])
+    labels = near_dedup.components(spark.range(1, 50).selectExpr("0L as a", "id as b"))
+    assert written == ["edges"] and labels.where("label = 0").count() == 49
+
+
 def test_classes_of_documents(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = {r.doc_id: r.class_id for r in queries.QUERIES["op2_minhash_near_dedup"](spark, sf_dir).collect()}
