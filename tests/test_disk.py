@@ -4,13 +4,16 @@ import glob
 import gzip
 import os
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from strata.functions import text as T
 from strata.functions.keys import dense_key
+from strata.operators import silver
 from strata.plans.lakehouse import Lakehouse
 from strata.session import SHUFFLE_CLEANUP, scratch_path
+from strata.sources import adapter
 
 
 def _local(path):
@@ -36,6 +39,37 @@ def test_settings_are_put_back(spark, sf_dir):
     assert [spark.conf.get(n, None) for n in names] == before
 
 
+def test_small_sides_of_the_landing_join_are_broadcast(spark, sf_dir, monkeypatch):
+    name, seen = "spark.sql.adaptive.autoBroadcastJoinThreshold", []
+    lines = adapter.landing_lines
+    monkeypatch.setattr(adapter, "landing_lines", lambda tables: (seen.append(spark.conf.get(name)), lines(tables))[1])
+    before = spark.conf.get(name, None)
+    Lakehouse(spark, sf_dir).landing_lines()
+    assert seen == ["64m"] and spark.conf.get(name, None) == before
+
+
+def test_invalid_sales_go_before_their_texts_are_cleaned(spark):
+    texts = [None, "", "  ", " a  b ", "c"]
+    rows = [(f"{t}", t, t, t, q, p, t) for i, t in enumerate(texts) for q in ("1", "0", None) for p in ("2.5", "x", None)]
+    raw = spark.createDataFrame(rows, "name string, distributor string, customer_name string, product_name string, quantity string, price string, country string")
+    bronze = raw.select("*", *[F.lit("1").alias(c) for c in silver.SALES_COLUMNS if c not in raw.columns])
+    got = silver.silver_sales(bronze)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "initcap" in plan and not any("initcap" in line for line in plan.splitlines() if "Filter" in line)
+    old = silver.dedup_sales(silver.filter_sales_valid(silver.type_sales(silver.clean_sales(bronze)))).select(*silver.SALES_COLUMNS)
+    assert got.count() == 3 and sorted(map(str, got.collect())) == sorted(map(str, old.collect()))
+
+
+def test_texts_are_cleaned_by_compiled_code(spark):
+    """Methods of more than 8,000 bytes are left to the interpreter."""
+    columns = [f"t{i}" for i in range(11)]
+    rows = spark.range(1).select(*[F.concat(F.lit(" x  "), F.col("id").cast("string")).alias(c) for c in columns])
+    cleaned = rows.select(*[T.collapse_space(F.col(c)).alias(c) for c in columns])
+    code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(cleaned._jdf.queryExecution().executedPlan())
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_dense_key_leaves_only_the_numbered_rows(spark):
     root = os.path.dirname(_local(scratch_path(spark)))
     before = set(glob.glob(f"{root}/key-*"))
