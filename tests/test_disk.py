@@ -4,12 +4,13 @@ import glob
 import gzip
 import os
 import random
+import time
 
 from pyspark.sql import functions as F
 
 from strata.functions import text as T
 from strata.functions.keys import dense_key
-from strata.operators import silver
+from strata.operators import ml, silver
 from strata.plans.lakehouse import Lakehouse
 from strata.session import SHUFFLE_CLEANUP, scratch_path
 from strata.sources import adapter
@@ -71,3 +72,45 @@ def test_collapse_space_is_the_regular_expression(spark):
     texts = ["".join(pick.choice(" \t\n\x0b\f\rab é") for _ in range(pick.randrange(9))) for _ in range(500)] + [None, "a b c", " a"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert df.where(~T.collapse_space(F.col("t")).eqNullSafe(F.regexp_replace("t", r"\s+", " "))).isEmpty()
+
+
+def _sales(spark):
+    rows = [(f"C{i}", f"P{i % 3}", "ES", 1 + i % 5, 2.5, 10.0 * (i + 1), "January February March April May June July August September October November December".split()[i // 3 % 12], 2000 + i // 36)
+            for i in range(108)]
+    return spark.createDataFrame(rows, "customer_name string, product_name string, country string, quantity int, price double, sales double, month string, year int")
+
+
+def test_forecast_features_are_computed_once(spark):
+    held = []
+    forecast = ml.naive_demand_forecast(_sales(spark), cached=held)
+    # the split date, the metrics and the rows all read the written features
+    assert "Window" not in forecast._jdf.queryExecution().optimizedPlan().toString()
+    assert forecast.count() == 3 * 7 and forecast.select("model_rmse").distinct().count() == 1
+    frame = ml.training_frame(ml.forecast_features(ml.monthly_demand(_sales(spark))), ("product_name", "year_month"), finish=ml.split_train_test)
+    assert "Window" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.split, r["count"]) for r in frame.groupBy("split").count().collect()} == {("test", 21), ("train", 78)}
+    ml.release([*held, frame])
+    assert not any(os.path.exists(_local(os.path.dirname(f))) for df in (*held, frame) for f in df.inputFiles())
+
+
+def test_model_outputs_leave_no_training_rows(spark, sf_dir):
+    root = os.path.dirname(_local(scratch_path(spark)))
+    made = lambda: set(glob.glob(f"{root}/training-frame-*") + glob.glob(f"{root}/forecast-features-*"))
+    before = made()
+    lake = Lakehouse(spark, sf_dir)
+    assert lake.naive_forecast().count() and lake.ml_customer_clusters().count()
+    assert made() == before
+
+
+def test_training_rows_leave_no_shuffle_files(spark):
+    def files():
+        return set(glob.glob(f"{spark.conf.get('spark.local.dir', '/tmp')}/blockmgr-*/*/shuffle_*.data"))
+
+    before = files()
+    frame = ml.training_frame(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), ("k",))
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and frame.count() == 7
+    ml.release([frame])
