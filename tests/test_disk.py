@@ -14,6 +14,7 @@ from strata.operators import ml, silver
 from strata.plans.lakehouse import Lakehouse
 from strata.session import SHUFFLE_CLEANUP, scratch_path
 from strata.sources import adapter
+from strata.sources.tables import Tables
 
 
 def _local(path):
@@ -74,6 +75,12 @@ def test_collapse_space_is_the_regular_expression(spark):
     assert df.where(~T.collapse_space(F.col("t")).eqNullSafe(F.regexp_replace("t", r"\s+", " "))).isEmpty()
 
 
+def test_landing_carries_each_key_once(spark, sf_dir):
+    columns = adapter.landing_lines(Tables(spark, sf_dir)).columns
+    assert {"l_orderkey", "l_partkey", "o_custkey"} <= set(columns)
+    assert not {"o_orderkey", "p_partkey", "c_custkey", "l_suppkey", "s_suppkey"} & set(columns)
+
+
 def _sales(spark):
     rows = [(f"C{i}", f"P{i % 3}", "ES", 1 + i % 5, 2.5, 10.0 * (i + 1), "January February March April May June July August September October November December".split()[i // 3 % 12], 2000 + i // 36)
             for i in range(108)]
