@@ -6,6 +6,7 @@ import os
 import random
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.functions import text as T
@@ -121,3 +122,34 @@ def test_training_rows_leave_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not files() - before and frame.count() == 7
     ml.release([frame])
+
+
+def test_layers_made_only_for_the_next_one_go_with_it(spark, sf_dir):
+    lake = Lakehouse(spark, sf_dir)
+    made = lambda: set(os.listdir(_local(lake.root)))
+    sold, ordered, shipped = lake.silver_sales(), lake.silver_orders(), lake.silver_shipments()
+    assert made() == {"landing_lines", "silver_sales", "silver_orders", "silver_shipments"}
+    assert sold.count() and ordered.count() and shipped.count()
+    # who asks for such a layer later gets all of it anew, and keeps it
+    bronze, events = lake.bronze_sales(), lake.bronze_orders()
+    assert bronze.count() == adapter.sales_wide(Tables(spark, sf_dir)).count() and events.count() == lake.landing_lines().count()
+    again = silver.silver_sales(bronze)
+    assert again.exceptAll(sold).isEmpty() and sold.exceptAll(again).isEmpty()
+    assert made() >= {"bronze_sales", "bronze_orders"} and not made() & {"landing_sales_csv", "landing_orders", "landing_shipments_csv"}
+
+
+def test_layers_asked_for_before_stay(spark, sf_dir):
+    lake = Lakehouse(spark, sf_dir)
+    csv, events, bronze = lake.sales_csv(), lake.order_events(), lake.bronze_sales()
+    assert lake.silver_sales().count() and lake.silver_orders().count()
+    assert bronze.count() == spark.read.option("header", "true").csv(csv).count() and spark.read.text(events).count() == lake.landing_lines().count()
+    assert not os.path.exists(_local(lake.path("bronze_orders")))
+
+
+def test_layers_stay_for_the_next_attempt(spark, sf_dir, monkeypatch):
+    lake = Lakehouse(spark, sf_dir)
+    with monkeypatch.context() as broken, pytest.raises(ZeroDivisionError):
+        broken.setattr(silver, "silver_orders", lambda bronze: 1 / 0)
+        lake.silver_orders()
+    assert lake.bronze_orders().count() == lake.landing_lines().count()
+    assert lake.silver_orders().count() and lake.bronze_orders().count()
