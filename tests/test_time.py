@@ -1,6 +1,11 @@
 """What the steps cost: tasks of a fit, passes over texts, sorts and joins of the layers."""
 
+import glob
+import os
+
 from strata.operators import ml
+from strata.session import scratch_path
+from strata.streaming.orders import run_orders_with_rejects
 
 
 def test_a_fit_of_many_rows_has_few_tasks(spark):
@@ -11,3 +16,18 @@ def test_a_fit_of_many_rows_has_few_tasks(spark):
     assert all(n * size / ml.training_partitions(n * size) <= ml.MOST_PER_PARTITION * size for n in (1, 10, 1000, 10**5, 10**7))
     frame = ml.training_frame(spark.range(1000), ("id",), rows_per_partition=10)
     assert frame.rdd.getNumPartitions() <= 32 and frame.count() == 1000
+
+
+def test_a_judged_batch_is_not_kept_in_memory(spark, monkeypatch):
+    base = scratch_path(spark, "judged")
+    sent = ['{"event_id": "A", "qty": 2}', "#1", "{}", '{"event_id": "B", "qty": "x"}']
+    spark.createDataFrame([(x,) for x in sent], "value string").repartition(2).write.text(f"{base}/landing")
+    kept = []
+    monkeypatch.setattr("pyspark.sql.DataFrame.persist", lambda df, *_: kept.append(df) or df)
+    run_orders_with_rejects(spark, f"{base}/landing", f"{base}/in", f"{base}/out", f"{base}/ckpt")
+    accepted, rejected = spark.read.parquet(f"{base}/in"), spark.read.parquet(f"{base}/out")
+    assert not kept and [(r.event_id, r.qty) for r in accepted.collect()] == [("A", 2)]
+    assert sorted((r.payload, r.reason) for r in rejected.collect()) == [("#1", "not_json"), ('{"event_id": "B", "qty": "x"}', "wrong_type"), ("{}", "no_event_id")]
+    assert accepted.columns == [c for c in accepted.columns if c not in ("payload", "reason")] and {"_source_file", "_processed_at"} <= set(accepted.columns)
+    assert accepted.select("_processed_at").union(rejected.select("_processed_at")).distinct().count() == 1
+    assert not glob.glob(f"{os.path.dirname(base).removeprefix('file:')}/judged-batch-*")
